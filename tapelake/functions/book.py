@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tapelake.functions import fixedpoint as fp
+
 LEVEL = "struct<price:double,quantity:int,order_count:int>"
 LEVELS = f"array<{LEVEL}>"
 DEPTH_LEVELS = 5
@@ -62,14 +64,14 @@ def book_metrics(bids: Column, asks: Column) -> dict[str, Column]:
     bid_qty, ask_qty = depth(bids, DEPTH_LEVELS), depth(asks, DEPTH_LEVELS)
     total = (bid_qty + ask_qty).cast("double")
     return {
-        "best_bid": F.round(bid, 4),
-        "best_ask": F.round(ask, 4),
-        "spread": F.round(spread, 4),
-        "spread_bps": F.round(F.when(mid > 0, spread / mid * F.lit(10000.0)).otherwise(zero), 2),
-        "mid_price": F.round(mid, 4),
+        "best_bid": fp.round_half_up(bid, 4),
+        "best_ask": fp.round_half_up(ask, 4),
+        "spread": fp.round_half_up(spread, 4),
+        "spread_bps": fp.round_half_up(F.when(mid > 0, spread / mid * F.lit(10000.0)).otherwise(zero), 2),
+        "mid_price": fp.round_half_up(mid, 4),
         "bid_depth_5": bid_qty,
         "ask_depth_5": ask_qty,
-        "imbalance": F.round(F.when(total > 0, (bid_qty - ask_qty).cast("double") / total).otherwise(zero), 4),
+        "imbalance": fp.round_half_up(F.when(total > 0, (bid_qty - ask_qty).cast("double") / total).otherwise(zero), 4),
         "bid_levels": F.size(bids),
         "ask_levels": F.size(asks),
     }

@@ -58,11 +58,23 @@ def notional_sum(price: Column | str = "price", quantity: Column | str = "quanti
 
 
 def price_mean(price: Column | str = "price", over: WindowSpec | None = None) -> Column:
-    """Mean price from the exact sum; NULL prices do not count."""
+    """Mean price from the exact sum in one division; NULL prices do not count."""
     n = F.count(_col(price))
     if over is not None:
         n = n.over(over)
-    return money_sum(ticks(price), over) / F.nullif(n, F.lit(0))
+    scaled = F.nullif(n, F.lit(0)).cast("double") * F.lit(float(TICKS_PER_UNIT))
+    return exact_sum(ticks(price), over).cast("double") / scaled
+
+
+def mean_6dp(x: Column | str) -> Column:
+    """Mean of a double from a sum in whole millionths, so that it does not depend on row order."""
+    x = _col(x)
+    return exact_sum(F.rint(x * F.lit(1e6)).cast("bigint")).cast("double") / (F.count(x).cast("double") * F.lit(1e6))
+
+
+def round_half_up(x: Column | str, digits: int = 0) -> Column:
+    """Round half up after dropping noise past the eighth decimal, so that 38.394999999999996 rounds as 38.395."""
+    return F.round(_col(x).cast("decimal(38,8)"), digits).cast("double")
 
 
 def quantity_sum(quantity: Column | str = "quantity") -> Column:

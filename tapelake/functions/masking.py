@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tapelake.functions import fixedpoint as fp
+
 # Fixed values of the masking contract.
 REDACTED = "***REDACTED***"
 DELETED_PREFIX = "DELETED-"
@@ -38,7 +40,7 @@ def mask_partial_padded(x: Column | str, n: int) -> Column:
 
 def mask_round(x: Column | str, n: int) -> Column:
     """Numbers rounded half up to ``n`` decimals."""
-    return F.round(_col(x).cast("double"), n)
+    return fp.round_half_up(_col(x).cast("double"), n)
 
 
 def pseudonym(x: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.functions import fixedpoint as fp
@@ -93,7 +93,7 @@ def sector_daily_summary(enriched: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("symbol_count"),
         F.sum("volume").alias("total_volume"),
         fp.from_ticks(F.sum("value_ticks")).alias("total_value"),
-        (F.sum("mean_micros").cast("double") / F.lit(1e6) / F.count(F.lit(1))).alias("avg_price"),
+        (F.sum("mean_micros").cast("double") / (F.count(F.lit(1)).cast("double") * F.lit(1e6))).alias("avg_price"),
     )
 
 
@@ -111,19 +111,14 @@ def trader_performance(enriched: DataFrame) -> DataFrame:
     )
 
 
-def _mean_6dp(x: str) -> Column:
-    """Mean of a double from a sum in millionths, so that it does not depend on row order."""
-    return fp.exact_sum(F.rint(F.col(x) * F.lit(1e6)).cast("bigint")).cast("double") / F.lit(1e6) / F.count(F.col(x))
-
-
 # Named metrics of the BI datasets: dataset -> metric -> aggregate.
 METRICS = {
     "daily_trade_summary": {
         "total_volume": lambda: F.sum("total_volume"),
-        "avg_vwap": lambda: _mean_6dp("vwap"),
+        "avg_vwap": lambda: fp.mean_6dp("vwap"),
         "trade_count": lambda: F.sum("trade_count"),
         "total_value": lambda: fp.money_sum(fp.ticks("total_value_traded")),
-        "avg_change_pct": lambda: _mean_6dp("change_pct"),
+        "avg_change_pct": lambda: fp.mean_6dp("change_pct"),
     },
     "market_daily_overview": {
         "total_trades": lambda: F.sum("total_trades"),

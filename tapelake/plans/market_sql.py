@@ -136,3 +136,15 @@ def with_views(sql: str) -> str:
         keyword = "WITH RECURSIVE" if recursive.group(1) else "WITH"
         return f"{keyword} {ctes},\n{sql[recursive.end():]}"
     return f"WITH {ctes}\n{sql}"
+
+
+def rounded(expr: str, digits: int) -> str:
+    """Round half up on the decimal reading of a double, as Spark does."""
+    return f"cast(round(cast({expr} AS decimal(38,8)), {digits}) AS double)"
+
+
+def stddev(n: str, s: str, q: str) -> str:
+    """Sample deviation from exact integer moments."""
+    return (
+        f"CASE WHEN {n} > 1 THEN sqrt(cast({n} * {q} - {s} * {s} AS double) / (cast({n} AS double) * cast({n} - 1 AS double))) END"
+    )
