@@ -81,9 +81,18 @@ def quantity_sum(quantity: Column | str = "quantity") -> Column:
     return F.sum(_col(quantity).cast("bigint"))
 
 
+def vwap_from(value_ticks: Column | str, volume: Column | str) -> Column:
+    """Volume-weighted price in one division, NULL without volume.
+
+    Both operands are whole numbers, so the quotient is correctly rounded and cannot leave the range of the prices.
+    """
+    scaled = F.nullif(_col(volume).cast("double") * F.lit(float(TICKS_PER_UNIT)), F.lit(0.0))
+    return _col(value_ticks).cast("double") / scaled
+
+
 def vwap(price: Column | str = "price", quantity: Column | str = "quantity") -> Column:
     """Volume-weighted price, NULL where nothing traded."""
-    return notional_sum(price, quantity) / F.nullif(quantity_sum(quantity), F.lit(0)).cast("double")
+    return vwap_from(exact_sum(notional_ticks(price, quantity)), quantity_sum(quantity))
 
 
 def sample_stddev(x: Column | str, over: WindowSpec | None = None) -> Column:

@@ -30,7 +30,7 @@ def trades_enriched(trades: DataFrame) -> DataFrame:
 def daily_bars(trades: DataFrame) -> DataFrame:
     """The canonical ``daily_trade_summary``."""
     bars = trades.groupBy("symbol", F.to_date("timestamp").alias("trade_date")).agg(
-        *aggregates(ohlcv()), fp.notional_sum().alias("total_value_traded")
+        *aggregates(ohlcv()), fp.exact_sum(fp.notional_ticks()).alias("value_ticks")
     )
     change = (F.col("close_price") - F.col("open_price")) / F.nullif(F.col("open_price"), F.lit(0.0)) * F.lit(100.0)
     return bars.select(
@@ -40,10 +40,10 @@ def daily_bars(trades: DataFrame) -> DataFrame:
         F.col("close_price").alias("close"),
         F.col("high_price").alias("high"),
         F.col("low_price").alias("low"),
-        (F.col("total_value_traded") / F.nullif(F.col("total_volume"), F.lit(0)).cast("double")).alias("vwap"),
+        fp.vwap_from("value_ticks", "total_volume").alias("vwap"),
         "total_volume",
         "trade_count",
-        "total_value_traded",
+        fp.from_ticks(F.col("value_ticks")).alias("total_value_traded"),
         change.alias("change_pct"),
     )
 

@@ -47,11 +47,10 @@ def daily_ohlcv(
     stamp = ts_literal(aggregated_at) if aggregated_at else F.current_timestamp()
     bars = trades.groupBy("symbol", F.to_date("timestamp").alias("trading_date")).agg(
         *aggregates(ohlcv(tie_break=tie_break)),
-        fp.notional_sum().alias("total_value"),
+        fp.exact_sum(fp.notional_ticks()).alias("value_ticks"),
         F.max("company_name").alias("company_name"),
         F.max("sector").alias("sector"),
     )
-    volume = F.col("total_volume")
     return bars.select(
         "symbol",
         "trading_date",
@@ -59,10 +58,10 @@ def daily_ohlcv(
         "close_price",
         "high_price",
         "low_price",
-        F.when(volume > 0, F.col("total_value") / volume.cast("double")).otherwise(0.0).alias("vwap"),
+        F.coalesce(fp.vwap_from("value_ticks", "total_volume"), F.lit(0.0)).alias("vwap"),
         "total_volume",
         F.col("trade_count").cast("int").alias("trade_count"),
-        "total_value",
+        fp.from_ticks(F.col("value_ticks")).alias("total_value"),
         "company_name",
         "sector",
         stamp.alias("_aggregated_at"),

@@ -1,4 +1,4 @@
-"""Slowly changing dimensions (types 1, 2 and 3) and column evolution."""
+"""Slowly changing dimensions (type 2) and column evolution."""
 
 from __future__ import annotations
 
@@ -120,23 +120,6 @@ def as_of(facts: DataFrame, dim: DataFrame, day: str, attributes: list[str]) ->
     return facts.join(versions, "symbol").filter(valid).drop("effective_date", "expiry_date")
 
 
-def apply_scd1(dim: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Type 1: incoming values replace, rows absent from the delivery stay."""
-    return incoming.select(*dim.columns).unionByName(dim.join(incoming.select(key), key, "left_anti").select(*dim.columns))
-
-
-def apply_scd3(dim: DataFrame, incoming: DataFrame, key: str, tracked: str) -> DataFrame:
-    """Type 3: one column keeps its previous value in ``previous_<column>``."""
-    previous = f"previous_{tracked}"
-    new = incoming.select(key, F.col(tracked).alias("_new"), F.lit(True).alias("_seen"))
-    changed = F.col("_seen") & ~F.col("_new").eqNullSafe(F.col(tracked))
-    return dim.join(new, key, "full").select(
-        key,
-        F.when(F.col("_seen"), F.col("_new")).otherwise(F.col(tracked)).alias(tracked),
-        F.when(changed, F.col(tracked)).otherwise(F.col(previous)).alias(previous),
-    )
-
-
 @dataclass(frozen=True)
 class ColumnChange:
     """A rename, or with ``new_type`` a replacement whose old values are not carried over."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tapelake.operators import alerts, charts, gold, indicators
 from tapelake.operators.selection import bid_ask_view
-from tapelake.plans.analytics import MEAN, PRICE_STD, VALUE, VOLUME
+from tapelake.plans.analytics import MEAN, PRICE_STD, VALUE, VOLUME, VWAP
 from tapelake.plans.market_sql import rounded
 from tapelake.plans.registry import query
 from tapelake.plans.selection import SIDED
@@ -67,7 +67,7 @@ def ch_spread(m):
 
 @query(
     "ch_vwap_price",
-    f"""SELECT {MINUTE}, {MEAN} AS avg_price, {VALUE} / cast(nullif(sum(quantity), 0) AS double) AS vwap FROM trades GROUP BY 1""",
+    f"""SELECT {MINUTE}, {MEAN} AS avg_price, {VWAP} AS vwap FROM trades GROUP BY 1""",
 )
 def ch_vwap_price(m):
     return charts.vwap_series(m.trades)
@@ -202,7 +202,7 @@ def st_price_alert_default(m):
 def _tumble_sql(minutes: int) -> str:
     return f"""SELECT symbol, time_bucket(INTERVAL '{minutes} minutes', timestamp) AS window_start,
        time_bucket(INTERVAL '{minutes} minutes', timestamp) + INTERVAL '{minutes} minutes' AS window_end, '{minutes}m' AS window_size,
-       count(*) AS trade_count, {VOLUME} AS total_volume, {VALUE} / cast(nullif(sum(quantity), 0) AS double) AS vwap,
+       count(*) AS trade_count, {VOLUME} AS total_volume, {VWAP} AS vwap,
        max(price) AS high_price, min(price) AS low_price FROM trades GROUP BY 1, 2, 3"""
 
 

@@ -58,7 +58,7 @@ FROM trades""",
     "gold": """
 SELECT symbol, trading_date, first(price ORDER BY timestamp, trade_id) AS open_price,
        last(price ORDER BY timestamp, trade_id) AS close_price, max(price) AS high_price, min(price) AS low_price,
-       cast(sum(px * quantity) AS double) / 10000 / cast(sum(quantity) AS double) AS vwap,
+       cast(sum(px * quantity) AS double) / cast(sum(quantity) * 10000 AS double) AS vwap,
        cast(sum(quantity) AS bigint) AS total_volume, cast(count(*) AS int) AS trade_count,
        cast(sum(px * quantity) AS double) / 10000 AS total_value,
        max(company_name) AS company_name, max(sector) AS sector,

@@ -158,7 +158,7 @@ UNION ALL SELECT 'global', symbol, trade_date, region, total_volume FROM summary
 )
 def rls_region(m):
     rows = summary(m).select("symbol", "trade_date", "region", "total_volume")
-    # The first region by name: one value of a five-row table.
+
     region = m.table("region").agg(F.min("r_name")).first()[0]
     one = gov.rls_region(rows, region).withColumn("viewer", F.lit("one"))
     return one.unionByName(gov.rls_region(rows).withColumn("viewer", F.lit("global")))

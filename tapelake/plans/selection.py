@@ -86,12 +86,8 @@ def q_watchlist(m):
     return sel.watchlist(requested_symbols(m), m.daily, "2024-01-15")
 
 
-BUSY = "(SELECT symbol FROM symbols WHERE symbol_key = 8)"
-
-
-def symbol_at(m, key: int = 8) -> str:
-    """Name of a symbol by key: one row of a fixed 25-row table."""
-    return m.symbols.filter(F.col("symbol_key") == key).select("symbol").first()[0]
+SYMBOL = "NATION_8"
+BUSY = f"'{SYMBOL}'"
 
 
 @query(
@@ -108,7 +104,7 @@ def trades_by_sector(m):
     f"SELECT {BRIEF}, timestamp FROM trades WHERE symbol = {BUSY} ORDER BY timestamp DESC, trade_id DESC LIMIT 100",
 )
 def trades_by_symbol(m):
-    return sel.newest_trades(m.trades, symbol_at(m)).select("trade_id", "symbol", "price", "quantity", "timestamp")
+    return sel.newest_trades(m.trades, SYMBOL).select("trade_id", "symbol", "price", "quantity", "timestamp")
 
 
 @query(
@@ -117,7 +113,7 @@ def trades_by_symbol(m):
 WHERE symbol = {BUSY} AND trading_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'""",
 )
 def daily_summary_range(m):
-    rows = sel.daily_summary_range(m.gold, symbol_at(m), "2024-01-05", "2024-01-20")
+    rows = sel.daily_summary_range(m.gold, SYMBOL, "2024-01-05", "2024-01-20")
     return rows.select("symbol", "trading_date", "open_price", "close_price", "vwap", "total_volume")
 
 
@@ -143,7 +139,7 @@ def silver_books(m):
 WHERE symbol = {BUSY} ORDER BY timestamp DESC LIMIT 50""",
 )
 def orderbook_spread(m):
-    return sel.book_spreads(silver_books(m), symbol_at(m))
+    return sel.book_spreads(silver_books(m), SYMBOL)
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +53,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tapelake-checkpoint-"))
     return df.checkpoint()
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a table a job writes for itself: in the shared folder of the cluster, or in local tests in
+    the machine's temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        return tempfile.mkdtemp(prefix=f"tapelake-{name}-")
+    return f"{shared.rstrip('/')}/tapelake/{name}-{uuid.uuid4().hex}"
