@@ -1,8 +1,8 @@
-"""Order-independent sums of prices.
+"""Order-independent sums of money.
 
 A sum of doubles depends on the order in which partial sums merge, so it can change between two runs of one job.
-Prices are therefore added as whole ticks of 1/10000, the resolution equity feeds quote in. Integer sums stay in
-generated code and are about ten times cheaper than sums of wide decimals.
+Amounts are therefore added as whole millionths. Integer sums stay in generated code and are about ten times cheaper
+than sums of wide decimals.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
-TICKS_PER_UNIT = 10_000
+TICKS_PER_UNIT = 1_000_000
 _LOW_BITS = 20
 
 
@@ -19,13 +19,16 @@ def _col(x: Column | str) -> Column:
 
 
 def ticks(price: Column | str) -> Column:
-    """Price in whole ticks, as bigint."""
+    """An amount in whole ticks of a millionth, as bigint."""
     return F.rint(_col(price) * F.lit(float(TICKS_PER_UNIT))).cast("bigint")
 
 
 def notional_ticks(price: Column | str = "price", quantity: Column | str = "quantity") -> Column:
-    """price * quantity in ticks, as bigint."""
-    return ticks(price) * _col(quantity).cast("bigint")
+    """price * quantity in ticks, as bigint.
+
+    The product is rounded, not the price, so a tiny price times a large quantity keeps its digits.
+    """
+    return ticks(_col(price) * _col(quantity))
 
 
 def exact_sum(x: Column | str, over: WindowSpec | None = None) -> Column:
@@ -66,12 +69,6 @@ def price_mean(price: Column | str = "price", over: WindowSpec | None = None) ->
     return exact_sum(ticks(price), over).cast("double") / scaled
 
 
-def mean_6dp(x: Column | str) -> Column:
-    """Mean of a double from a sum in whole millionths, so that it does not depend on row order."""
-    x = _col(x)
-    return exact_sum(F.rint(x * F.lit(1e6)).cast("bigint")).cast("double") / (F.count(x).cast("double") * F.lit(1e6))
-
-
 def round_half_up(x: Column | str, digits: int = 0) -> Column:
     """Round half up after dropping noise past the eighth decimal, so that 38.394999999999996 rounds as 38.395."""
     return F.round(_col(x).cast("decimal(38,8)"), digits).cast("double")
@@ -84,12 +81,17 @@ def quantity_sum(quantity: Column | str = "quantity") -> Column:
 def vwap_from(value_ticks: Column | str, volume: Column | str) -> Column:
     """Volume-weighted price in one division, NULL without volume.
 
-    Both operands are whole numbers, so the quotient is correctly rounded and cannot leave the range of the prices.
+    Both operands are whole numbers, so the quotient is correctly rounded: one trade's VWAP is its price.
     """
     scaled = F.nullif(_col(volume).cast("double") * F.lit(float(TICKS_PER_UNIT)), F.lit(0.0))
     return _col(value_ticks).cast("double") / scaled
 
 
+def within(x: Column, low: Column | str, high: Column | str) -> Column:
+    """Clamp to a range it can leave only by rounding; NULL stays NULL."""
+    return F.when(x.isNotNull(), F.greatest(_col(low), F.least(_col(high), x)))
+
+
 def vwap(price: Column | str = "price", quantity: Column | str = "quantity") -> Column:
     """Volume-weighted price, NULL where nothing traded."""
     return vwap_from(exact_sum(notional_ticks(price, quantity)), quantity_sum(quantity))

@@ -40,7 +40,7 @@ def daily_bars(trades: DataFrame) -> DataFrame:
         F.col("close_price").alias("close"),
         F.col("high_price").alias("high"),
         F.col("low_price").alias("low"),
-        fp.vwap_from("value_ticks", "total_volume").alias("vwap"),
+        fp.within(fp.vwap_from("value_ticks", "total_volume"), "low_price", "high_price").alias("vwap"),
         "total_volume",
         "trade_count",
         fp.from_ticks(F.col("value_ticks")).alias("total_value_traded"),
@@ -115,10 +115,10 @@ def trader_performance(enriched: DataFrame) -> DataFrame:
 METRICS = {
     "daily_trade_summary": {
         "total_volume": lambda: F.sum("total_volume"),
-        "avg_vwap": lambda: fp.mean_6dp("vwap"),
+        "avg_vwap": lambda: fp.price_mean("vwap"),
         "trade_count": lambda: F.sum("trade_count"),
         "total_value": lambda: fp.money_sum(fp.ticks("total_value_traded")),
-        "avg_change_pct": lambda: fp.mean_6dp("change_pct"),
+        "avg_change_pct": lambda: fp.price_mean("change_pct"),
     },
     "market_daily_overview": {
         "total_trades": lambda: F.sum("total_trades"),

@@ -58,7 +58,9 @@ def daily_ohlcv(
         "close_price",
         "high_price",
         "low_price",
-        F.coalesce(fp.vwap_from("value_ticks", "total_volume"), F.lit(0.0)).alias("vwap"),
+        F.coalesce(fp.within(fp.vwap_from("value_ticks", "total_volume"), "low_price", "high_price"), F.lit(0.0)).alias(
+            "vwap"
+        ),
         "total_volume",
         F.col("trade_count").cast("int").alias("trade_count"),
         fp.from_ticks(F.col("value_ticks")).alias("total_value"),

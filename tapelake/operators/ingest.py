@@ -1,7 +1,7 @@
 """Ingestion: decode, validate, route and flatten feed messages, and parse flat events into Bronze.
 
-Messages arrive as ``value`` text holding ``{"event_type", "data"}``. Decoding parses the text once into a VARIANT and
-every later step reads that, so a feed is parsed once whatever number of event types it mixes.
+Messages arrive as ``value`` text holding ``{"event_type", "data"}``. Decoding parses the text once into a VARIANT, and
+the payload once into a struct with a VARIANT per known field; every later step reads that struct.
 """
 
 from __future__ import annotations
@@ -141,8 +141,8 @@ def _level_ok(v: Column) -> Column:
 
 
 def field_ok(data: Column, field: Field) -> Column:
-    """Whether the field of a VARIANT payload passes; never NULL."""
-    v = _get(data, f"$.{field.name}", "variant")
+    """Whether the field of a payload passes; never NULL."""
+    v = data[field.name]
     if field.kind == "str":
         ok = _is_string(v)
         if field.allowed:
@@ -169,7 +169,7 @@ def field_ok(data: Column, field: Field) -> Column:
 
 def field_value(data: Column, field: Field) -> Column:
     """The coerced value of a valid field."""
-    v = _get(data, f"$.{field.name}", "variant")
+    v = data[field.name]
     if field.kind == "bool":
         value = F.lower(_get(v, "$", "string")).isin(*TRUE_TEXT)
     elif field.kind == "int":
@@ -190,18 +190,30 @@ def field_value(data: Column, field: Field) -> Column:
     return value if field.default is None else F.coalesce(value, F.lit(field.default))
 
 
+_PAYLOAD = "struct<" + ",".join(f"{name}:variant" for name in sorted({f.name for fs in EVENTS.values() for f in fs})) + ">"
+
+
+def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters cannot be pushed below.
+
+    A filter on something derived from the parsed text would otherwise be rewritten in terms of the text, and parse it
+    again for every field it looks at. Filters do not move below a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def decode(messages: DataFrame) -> DataFrame:
     """Parse the text: ``status`` is ``bad_json``, ``skipped`` (no event type, like a greeting) or ``decoded``."""
-    parsed = messages.withColumn("doc", F.try_parse_json("value"))
-    kind = _get(F.col("doc"), "$.event_type", "variant")
-    status = F.when(F.col("doc").isNull(), "bad_json").when(kind.isNull(), "skipped").otherwise("decoded")
-    return parsed.withColumns(
-        {
-            "status": status,
-            "event_type": F.when(_is_string(kind), _get(F.col("doc"), "$.event_type", "string")),
-            "data": _get(F.col("doc"), "$.data", "variant"),
-        }
-    ).drop("doc")
+    parsed = _computed_once(messages, "_doc", F.try_parse_json("value"))
+    doc = F.col("_doc")
+    kind = _get(doc, "$.event_type", "variant")
+    status = F.when(doc.isNull(), "bad_json").when(kind.isNull(), "skipped").otherwise("decoded")
+    head = F.struct(
+        status.alias("status"),
+        F.when(_is_string(kind), _get(doc, "$.event_type", "string")).alias("event_type"),
+        _get(doc, "$.data", _PAYLOAD).alias("data"),
+    )
+    return _computed_once(parsed, "_head", head).select(*messages.columns, "_head.*")
 
 
 def validate(decoded: DataFrame) -> DataFrame:
@@ -224,8 +236,8 @@ def route(events: DataFrame) -> DataFrame:
     topics = F.create_map(*[F.lit(x) for kind, (topic, _) in ROUTES.items() for x in (kind, topic)])
     keyed_by_agent = [kind for kind, (_, key) in ROUTES.items() if key == "agent_id"]
     data = F.col("data")
-    key = F.when(F.col("event_type").isin(*keyed_by_agent), _get(data, "$.agent_id", "string")).when(
-        F.col("event_type").isin(*ROUTES), _get(data, "$.symbol", "string")
+    key = F.when(F.col("event_type").isin(*keyed_by_agent), _get(data["agent_id"], "$", "string")).when(
+        F.col("event_type").isin(*ROUTES), _get(data["symbol"], "$", "string")
     )
     topic = F.coalesce(F.try_element_at(topics, F.coalesce("event_type", F.lit(""))), F.lit(DLQ_TOPIC))
     return events.withColumns({"topic": topic, "key": key})

@@ -179,7 +179,7 @@ def sector_rotation(daily: DataFrame, symbols: DataFrame, as_of: date | str, day
             fp.money_sum(F.when(change < 0, value).otherwise(0)).alias("net_outflow"),
             (F.sum(sign).cast("double") * F.avg("total_volume")).alias("net_volume_flow"),
             F.count_distinct("symbol").alias("active_symbols"),
-            fp.round_half_up(fp.mean_6dp(change), 2).alias("avg_return_pct"),
+            fp.round_half_up(fp.price_mean(change), 2).alias("avg_return_pct"),
         )
         .orderBy(F.desc("week"), F.desc("net_volume_flow"), "sector")
     )

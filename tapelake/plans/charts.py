@@ -16,7 +16,7 @@ MINUTE = "time_bucket(INTERVAL '1 minute', timestamp) AS bucket_ts"
 
 def side_mean(side: str) -> str:
     when = f"CASE WHEN side = '{side}' THEN"
-    return f"cast(sum({when} px END) AS double) / (nullif(count({when} 1 END), 0) * 10000)"
+    return f"cast(sum({when} px END) AS double) / (nullif(count({when} 1 END), 0) * 1000000)"
 
 
 def side_sum(side: str) -> str:
@@ -119,7 +119,7 @@ def ch_exposure(m):
 
 @query(
     "ch_concentration",
-    """SELECT sector, cast(v AS double) / 10000 AS total_value, cast(v AS double) / cast(sum(v) OVER () AS double) AS share,
+    """SELECT sector, cast(v AS double) / 1000000 AS total_value, cast(v AS double) / cast(sum(v) OVER () AS double) AS share,
        cast(v AS double) / cast(sum(v) OVER () AS double) > 0.5::DOUBLE AS over_limit
 FROM (SELECT sector, sum(px * quantity) AS v FROM trades GROUP BY 1)""",
 )

@@ -35,14 +35,14 @@ SELECT concat('T', lpad(cast(e.event_id AS varchar), 10, '0')) AS trade_id, s.sy
        e.event_id % 2 = 0 AS is_aggressive_buy, e.ts AS timestamp, cast(e.ts AS date) AS trading_date,
        e.event_id AS _kafka_offset, cast(e.event_id % 3 AS int) AS _kafka_partition,
        s.company_name AS company_name, s.sector AS sector,
-       cast(round(e.value * 10000) AS bigint) AS px
+       cast(round(e.value * 1000000) AS bigint) AS px
 FROM events e JOIN symbols s ON s.symbol_key = e.user_id % 25""",
     "bronze_trades": """
 SELECT * FROM trades
 UNION ALL
 SELECT trade_id, symbol, price + 1.0, quantity, buy_order_id, sell_order_id, buyer_agent_id, seller_agent_id,
        is_aggressive_buy, timestamp, trading_date, _kafka_offset + 100000000, _kafka_partition, company_name, sector,
-       px + 10000
+       px + 1000000
 FROM trades WHERE _kafka_offset % 10 = 0""",
     "silver_trades": """
 SELECT trade_id, symbol, price, quantity, buy_order_id, sell_order_id, buyer_agent_id, seller_agent_id,
@@ -51,16 +51,16 @@ FROM (SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY _kafka_offset,
       FROM bronze_trades) WHERE rn = 1""",
     "trades_enriched": """
 SELECT trade_id, symbol, CASE WHEN is_aggressive_buy THEN 'BUY' ELSE 'SELL' END AS trade_type, price, quantity,
-       cast(px * quantity AS double) / 10000 AS value, timestamp AS traded_at, trading_date AS trade_date,
+       cast(px * quantity AS double) / 1000000 AS value, timestamp AS traded_at, trading_date AS trade_date,
        cast(extract(hour FROM timestamp) AS int) AS trade_hour,
        CASE WHEN is_aggressive_buy THEN buyer_agent_id ELSE seller_agent_id END AS account_id, sector, px
 FROM trades""",
     "gold": """
 SELECT symbol, trading_date, first(price ORDER BY timestamp, trade_id) AS open_price,
        last(price ORDER BY timestamp, trade_id) AS close_price, max(price) AS high_price, min(price) AS low_price,
-       cast(sum(px * quantity) AS double) / cast(sum(quantity) * 10000 AS double) AS vwap,
+       cast(sum(px * quantity) AS double) / cast(sum(quantity) * 1000000 AS double) AS vwap,
        cast(sum(quantity) AS bigint) AS total_volume, cast(count(*) AS int) AS trade_count,
-       cast(sum(px * quantity) AS double) / 10000 AS total_value,
+       cast(sum(px * quantity) AS double) / 1000000 AS total_value,
        max(company_name) AS company_name, max(sector) AS sector,
        last(px ORDER BY timestamp, trade_id) AS close_px, first(px ORDER BY timestamp, trade_id) AS open_px,
        sum(px * quantity) AS value_px

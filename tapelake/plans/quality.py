@@ -256,7 +256,7 @@ def dq_bronze_silver_diff(m):
     """WITH kept AS (SELECT * FROM silver_trades WHERE timestamp < TIMESTAMP '2024-01-29'),
 f AS (SELECT (SELECT count(*) FROM bronze_trades) AS b, (SELECT count(DISTINCT trade_id) FROM bronze_trades WHERE trade_id NOT IN (SELECT trade_id FROM kept)) AS lost,
   (SELECT count(*) FROM kept) AS s, (SELECT count(*) FROM gold) AS g, (SELECT cast(sum(quantity) AS bigint) FROM kept) AS sv, (SELECT cast(sum(total_volume) AS bigint) FROM gold) AS gv,
-  (SELECT cast(sum(px * quantity) AS double) / 10000 FROM kept) AS sx, (SELECT cast(sum(value_px) AS double) / 10000 FROM gold) AS gx)
+  (SELECT cast(sum(px * quantity) AS double) / 1000000 FROM kept) AS sx, (SELECT cast(sum(value_px) AS double) / 1000000 FROM gold) AS gx)
 SELECT 'bronze_to_silver_loss' AS rule, cast(lost AS double) AS measured, 0::DOUBLE AS expected, lost = 0 AS success FROM f
 UNION ALL SELECT 'silver_within_bronze', s, b, s <= b FROM f
 UNION ALL SELECT 'gold_within_silver', g, s, g <= s FROM f

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +30,20 @@ def query(name: str, sql: str | None = None) -> Callable[[Builder], Builder]:
     return register
 
 
+_MARKETS: WeakKeyDictionary[SparkSession, dict[str, Market]] = WeakKeyDictionary()
+
+
+def market(spark: SparkSession, path: str) -> Market:
+    """The views over a folder, analyzed once per session; they are plans, so nothing is kept but their definitions."""
+    known = _MARKETS.setdefault(spark, {})
+    if path not in known:
+        known[path] = Market(spark, path)
+    return known[path]
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(builder: Builder) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, path: builder(Market(spark, path))
+        return lambda spark, path: builder(market(spark, path))
 
     return {name: bind(builder) for name, builder in _QUERIES.items()}
 

@@ -82,7 +82,7 @@ def mask_role_policy(m):
 
 
 SPREADS_SQL = """spreads AS (SELECT symbol, cast(timestamp AS date) AS trade_date,
-  cast(sum(cast(round(spread * 10000) AS bigint)) AS double) / (nullif(count(spread), 0) * 10000) AS avg_bid_ask_spread FROM silver_books GROUP BY 1, 2),
+  cast(sum(cast(round(spread * 1000000) AS bigint)) AS double) / (nullif(count(spread), 0) * 1000000) AS avg_bid_ask_spread FROM silver_books GROUP BY 1, 2),
 summary AS (SELECT g.symbol, g.trading_date AS trade_date, g.sector AS region, total_volume, vwap, open_price, close_price, high_price, low_price, trade_count,
   avg_bid_ask_spread FROM gold g LEFT JOIN spreads s ON s.symbol = g.symbol AND s.trade_date = g.trading_date)"""
 SUMMARY = "symbol, trade_date, total_volume, vwap, open_price, close_price, high_price, low_price, trade_count, avg_bid_ask_spread"

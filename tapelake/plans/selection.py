@@ -183,7 +183,7 @@ def large_trades(m):
 
 @query(
     "topk_notional",
-    f"""SELECT {BRIEF}, cast(px * quantity AS double) / 10000 AS notional FROM trades
+    f"""SELECT {BRIEF}, cast(px * quantity AS double) / 1000000 AS notional FROM trades
 ORDER BY px * quantity DESC, trade_id LIMIT 10""",
 )
 def topk_notional(m):
@@ -242,7 +242,7 @@ def page_offset(m):
     "nulls_last_sort",
     """WITH scored AS (
   SELECT symbol, trade_date, close_px - lag(close_px) OVER (PARTITION BY symbol ORDER BY trade_date) AS move FROM daily_trade_summary)
-SELECT symbol, trade_date, cast(move AS double) / 10000 AS price_change FROM scored
+SELECT symbol, trade_date, cast(move AS double) / 1000000 AS price_change FROM scored
 ORDER BY move DESC NULLS LAST, symbol, trade_date LIMIT 200""",
 )
 def nulls_last_sort(m):

@@ -91,7 +91,9 @@ class Market:
         """Clean intraday trades, one per base event."""
         events = self.table("events")
         account = F.col("user_id")
-        return events.join(self.symbols, F.col("symbol_key") == account % 25).select(
+        # The hint is safe: the reference is the 25-row nation table at every scale, and without it Catalyst, which
+        # takes a join's size for the product of its inputs, broadcasts the events of a small data set instead.
+        return events.join(F.broadcast(self.symbols), F.col("symbol_key") == account % 25).select(
             F.concat(F.lit("T"), F.lpad(F.col("event_id").cast("string"), 10, "0")).alias("trade_id"),
             "symbol",
             F.col("value").alias("price"),
