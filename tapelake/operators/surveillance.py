@@ -35,32 +35,28 @@ def _signed_matches(enriched: DataFrame, tolerance: str) -> DataFrame:
     difference of two running counts over the sell sizes. No pair is ever formed: both sides are histograms by
     size, and each buy size asks the running count at its two bounds.
     """
-    hist = _side_histograms(enriched)
-    sells = hist.filter("trade_type = 'SELL'").select(
-        "symbol", "trade_date", F.col("quantity").cast("bigint").alias("at"), F.col("n").alias("sold"),
-        F.lit(0).alias("sign"), F.lit(None).cast("int").alias("quantity"), F.lit(0).cast("bigint").alias("buys"),
-        F.lit(0).cast("decimal(38,0)").alias("price_ticks"),
-    )
-    q1 = F.col("quantity").cast("decimal(20,0)")
-    width = q1 * F.lit(Decimal(tolerance))
-    bound = F.explode(
-        F.array(
-            F.struct((F.ceil(q1 + width) - 1).cast("bigint").alias("at"), F.lit(1).alias("sign")),
-            F.struct(F.floor(q1 - width).cast("bigint").alias("at"), F.lit(-1).alias("sign")),
-        )
-    )
-    probes = (
-        hist.filter("trade_type = 'BUY'")
-        .withColumn("bound", bound)
-        .select(
-            "symbol", "trade_date", "bound.at", F.lit(0).cast("bigint").alias("sold"), "bound.sign", "quantity",
-            F.col("n").alias("buys"), _wide(F.col("price_ticks")).alias("price_ticks"),
-        )
+    q = F.col("quantity").cast("decimal(20,0)")
+    width = q * F.lit(Decimal(tolerance))
+    none = F.lit(0).cast("bigint")
+
+    def mark(at: Column, sold: Column, sign: int) -> Column:
+        return F.struct(at.cast("bigint").alias("at"), sold.alias("sold"), F.lit(sign).alias("sign"))
+
+    sell = F.array(mark(F.col("quantity"), F.col("n"), 0))
+    bounds = F.array(mark(F.ceil(q + width) - 1, none, 1), mark(F.floor(q - width), none, -1))
+    # Sells and bounds come from one pass over the histogram, so the trades are read once.
+    marks = _side_histograms(enriched).select(
+        "symbol",
+        "trade_date",
+        "quantity",
+        F.col("n").alias("buys"),
+        _wide(F.col("price_ticks")).alias("price_ticks"),
+        F.explode(F.when(F.col("trade_type") == "SELL", sell).otherwise(bounds)).alias("mark"),
     )
     # RANGE to the current value: sells of exactly the bound's size are counted whatever order the rows come in.
-    up_to = Window.partitionBy("symbol", "trade_date").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
-    running = sells.unionByName(probes).withColumn("running", F.sum("sold").over(up_to))
-    return running.filter("sign <> 0").withColumn("sells", F.col("running") * F.col("sign"))
+    up_to = Window.partitionBy("symbol", "trade_date").orderBy("mark.at").rangeBetween(Window.unboundedPreceding, 0)
+    running = marks.withColumn("running", F.sum("mark.sold").over(up_to))
+    return running.filter("mark.sign <> 0").withColumn("sells", F.col("running") * F.col("mark.sign"))
 
 
 def opposite_side_matches(enriched: DataFrame, tolerance: str = SIZE_TOLERANCE) -> DataFrame:
