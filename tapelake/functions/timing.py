@@ -19,6 +19,12 @@ SUBDAY_INTERVALS = {
 CALENDAR_INTERVALS = {"1d": "day", "1w": "week"}
 
 
+def interval_seconds(interval: str) -> int:
+    """Length of a sub-day interval, given by its short name or in words."""
+    count, unit = SUBDAY_INTERVALS.get(interval, interval).split()
+    return int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
 def as_date(value: date | str) -> date:
     return value if isinstance(value, date) else date.fromisoformat(value)
 

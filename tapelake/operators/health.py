@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import datetime
+from math import gcd
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapelake.functions.timing import ts_literal
+from tapelake.functions.timing import interval_seconds, ts_literal
 
 # Alert rules on ingestion windows (window, measure, comparison, limit, severity).
 INGEST_RULES = [
@@ -29,45 +30,57 @@ ASSET_SLA_HOURS = 24
 LATENCY_BUCKETS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0)
 
 
-def _seconds(window: str) -> float:
-    count, unit = window.split()
-    return float(count) * {"minute": 60, "hour": 3600}[unit.rstrip("s")]
+_BUCKETS = [f"latency_le_{i}" for i in range(len(LATENCY_BUCKETS))]
 
 
-def histogram_quantile(value: Column, q: float, bounds: tuple[float, ...] = LATENCY_BUCKETS) -> Column:
-    """Quantile from bucket counts, interpolated inside the bucket: a fixed number of counters per group however many
-    values it has. The bucket past the last bound ends at the largest value seen."""
-    rank = F.lit(q) * F.count(value).cast("double")
-    uppers = [F.lit(float(b)) for b in bounds] + [F.max(value)]
-    below = [F.count_if(value <= b).cast("double") for b in bounds] + [F.count(value).cast("double")]
+def _counters(latency: Column) -> list[Column]:
+    """Everything a window is judged by, as counters that add up and one maximum."""
+    status = F.col("status")
+    return [
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(status == "invalid").alias("rejected"),
+        F.count_if(status.isin("invalid", "bad_json")).alias("dlq"),
+        F.count(latency).alias("timed"),
+        *[F.count_if(latency <= bound).alias(name) for bound, name in zip(LATENCY_BUCKETS, _BUCKETS)],
+        F.max(latency).alias("slowest"),
+    ]
+
+
+def bucket_quantile(q: float, below: list[Column], total: Column, largest: Column) -> Column:
+    """Quantile interpolated inside its bucket, given the counts at or below each bound. The bucket past the last
+    bound ends at the largest value seen. NULL without values."""
+    rank = F.lit(q) * total.cast("double")
+    uppers = [F.lit(float(b)) for b in LATENCY_BUCKETS] + [largest]
     out, lower, before = None, F.lit(0.0), F.lit(0.0)
-    for upper, cumulative in zip(uppers, below):
-        inside = F.nullif(cumulative - before, F.lit(0.0))
-        estimate = lower + (upper - lower) * ((rank - before) / inside)
+    for upper, count in zip(uppers, [*below, total]):
+        cumulative = count.cast("double")
+        estimate = lower + (upper - lower) * ((rank - before) / F.nullif(cumulative - before, F.lit(0.0)))
         out = F.when(cumulative >= rank, estimate) if out is None else out.when(cumulative >= rank, estimate)
         lower, before = upper, cumulative
-    return F.when(F.count(value) > 0, out)
+    return F.when(total > 0, out)
 
 
-def ingest_health(events: DataFrame, window: str = "5 minutes") -> DataFrame:
-    """Received, rejected and dead-letter counts, rates and 95th-percentile latency per window.
-
-    ``events``: timestamp, status (valid, invalid, bad_json or skipped) and latency_seconds.
-    """
-    status = F.col("status")
-    counts = events.groupBy(F.window("timestamp", window)["start"].alias("window_start")).agg(
-        F.count(F.lit(1)).alias("received"),
-        F.count_if(status == "invalid").alias("rejected"),
-        F.count_if(status.isin("invalid", "bad_json")).alias("dlq"),
-        histogram_quantile(F.col("latency_seconds"), 0.95).alias("latency_p95"),
-    )
-    seconds = F.lit(_seconds(window))
-    return counts.withColumns(
+def _measures(counted: DataFrame, seconds: Column) -> DataFrame:
+    p95 = bucket_quantile(0.95, [F.col(name) for name in _BUCKETS], F.col("timed"), F.col("slowest"))
+    return counted.withColumns(
         {
+            "latency_p95": p95,
             "received_rate": F.col("received").cast("double") / seconds,
             "rejected_rate": F.col("rejected").cast("double") / seconds,
         }
+    ).drop("timed", "slowest", *_BUCKETS)
+
+
+def ingest_health(events: DataFrame, window: str = "5 minutes") -> DataFrame:
+    """Received, rejected and dead-letter counts, rates and 95th-percentile latency per window.
+
+    ``events``: timestamp, status (valid, invalid, bad_json or skipped) and latency_seconds. The percentile comes from
+    a fixed set of latency buckets, so a window keeps a dozen numbers however many messages it has.
+    """
+    counted = events.groupBy(F.window("timestamp", window)["start"].alias("window_start")).agg(
+        *_counters(F.col("latency_seconds"))
     )
+    return _measures(counted, F.lit(float(interval_seconds(window))))
 
 
 def topic_counts(events: DataFrame, window: str = "5 minutes") -> DataFrame:
@@ -77,40 +90,53 @@ def topic_counts(events: DataFrame, window: str = "5 minutes") -> DataFrame:
     )
 
 
-def with_empty_windows(health: DataFrame, window: str) -> DataFrame:
-    """Add the windows in which nothing arrived, between the first and last that have rows."""
-    step = F.expr(f"INTERVAL {window}")
-    grid = health.agg(F.min("window_start").alias("a"), F.max("window_start").alias("b")).select(
-        F.explode(F.sequence("a", "b", step)).alias("window_start")
-    )
-    filled = grid.join(health, "window_start", "left")
-    counts = ["received", "rejected", "dlq", "received_rate", "rejected_rate"]
-    return filled.fillna(0, subset=counts)
-
-
 def _breaks(measure: Column, comparison: str, limit: float) -> Column:
     return {"=": measure == limit, "<": measure < limit, ">": measure > limit}[comparison]
 
 
 def ingest_alerts(events: DataFrame, rules: list[tuple] = INGEST_RULES) -> DataFrame:
-    """Windows that break a rule. Rules sharing a window length share its aggregation."""
-    by_window: dict[str, DataFrame] = {}
-    out = None
+    """Windows that break a rule, silent windows between the first and the last message included.
+
+    The events are read once: they are counted in windows of the greatest length that divides every rule's, and these
+    few rows are added up to the rules' own windows.
+    """
+    lengths = {window: interval_seconds(window) for _, window, *_ in rules}
+    step = gcd(*lengths.values())
+    counted = events.groupBy(F.window("timestamp", f"{step} seconds")["start"].alias("at")).agg(
+        *_counters(F.col("latency_seconds"))
+    )
+    second = F.unix_seconds("at")
+    starts = F.array(
+        *[F.struct(F.lit(n).alias("seconds"), (second - F.pmod(second, F.lit(n))).alias("start")) for n in set(lengths.values())]
+    )
+    sums = [F.sum(c).alias(c) for c in ["received", "rejected", "dlq", "timed", *_BUCKETS]]
+    windows = (
+        counted.withColumn("w", F.explode(starts))
+        .groupBy("w.seconds", "w.start")
+        .agg(*sums, F.max("slowest").alias("slowest"))
+    )
+    judged = _measures(windows, F.col("seconds").cast("double"))
+    # Each window also stands for the silent ones that follow it; a length has at most one row per window.
+    judged = judged.withColumn("_next", F.lead("start").over(Window.partitionBy("seconds").orderBy("start")))
+    following = F.col("_next")
+    silent = F.when(
+        following > F.col("start") + F.col("seconds"),
+        F.sequence(F.col("start") + F.col("seconds"), following - F.col("seconds"), F.col("seconds").cast("bigint")),
+    )
+    own = F.array(F.struct(F.col("start").alias("start"), F.lit(False).alias("silent")))
+    gaps = F.transform(silent, lambda s: F.struct(s.alias("start"), F.lit(True).alias("silent")))
+    every = F.when(gaps.isNull(), own).otherwise(F.concat(own, gaps))
+    filled = judged.withColumn("w", F.explode(every))
+    verdicts = []
     for name, window, measure, comparison, limit, severity in rules:
-        if window not in by_window:
-            by_window[window] = with_empty_windows(ingest_health(events, window), window)
-        fired = (
-            by_window[window]
-            .filter(_breaks(F.col(measure).cast("double"), comparison, limit))
-            .select(
-                F.lit(name).alias("alert"),
-                F.lit(severity).alias("severity"),
-                "window_start",
-                F.col(measure).cast("double").alias("measured"),
-            )
+        quiet = F.lit(None).cast("double") if measure == "latency_p95" else F.lit(0.0)
+        value = F.when(F.col("w.silent"), quiet).otherwise(F.col(measure).cast("double"))
+        fires = (F.col("seconds") == lengths[window]) & _breaks(value, comparison, limit)
+        verdicts.append(
+            F.when(fires, F.struct(F.lit(name).alias("alert"), F.lit(severity).alias("severity"), value.alias("measured")))
         )
-        out = fired if out is None else out.unionByName(fired)
-    return out
+    fired = filled.withColumn("v", F.explode(F.filter(F.array(*verdicts), lambda v: v.isNotNull())))
+    return fired.select("v.alert", "v.severity", F.timestamp_seconds("w.start").alias("window_start"), "v.measured")
 
 
 def latest(assets: dict[str, tuple[DataFrame, str]]) -> DataFrame:

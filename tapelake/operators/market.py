@@ -42,22 +42,21 @@ def market_totals(gold: DataFrame, day: date | str) -> DataFrame:
 
 def top_lists(gold: DataFrame, n: int = TOP_LIST) -> DataFrame:
     """Top gainers, losers (worst first) and most active symbols of every day, ranked."""
-    bars = with_change(gold)
     lists = {
         "top_gainers": F.desc("price_change_pct"),
         "top_losers": F.asc("price_change_pct"),
         "most_active": F.desc("total_volume"),
     }
-    out = None
-    for name, order in lists.items():
-        rank = F.row_number().over(Window.partitionBy("trading_date").orderBy(order, "symbol"))
-        ranked = (
-            bars.withColumn("rank", rank)
-            .filter(F.col("rank") <= n)
-            .select("trading_date", F.lit(name).alias("list_name"), "rank", "symbol", "price_change_pct", "total_volume")
-        )
-        out = ranked if out is None else out.unionByName(ranked)
-    return out
+    # One shuffle by day serves the three rankings; a day has as many rows as symbols.
+    ranks = {f"_{name}": F.row_number().over(Window.partitionBy("trading_date").orderBy(order, "symbol"))
+             for name, order in lists.items()}
+    entries = F.array(*[F.struct(F.lit(name).alias("list_name"), F.col(f"_{name}").alias("rank")) for name in lists])
+    return (
+        with_change(gold)
+        .withColumns(ranks)
+        .withColumn("entry", F.explode(F.filter(entries, lambda e: e["rank"] <= n)))
+        .select("trading_date", "entry.list_name", "entry.rank", "symbol", "price_change_pct", "total_volume")
+    )
 
 
 def market_overview(gold: DataFrame, day: date | str, n: int = TOP_LIST) -> DataFrame:
@@ -190,18 +189,21 @@ def trader_profile(enriched: DataFrame, account_id: str, first: date | str, last
     mine = enriched.filter(
         (F.col("account_id") == account_id) & F.col("trade_date").between(as_date(first), as_date(last))
     )
-    totals = mine.agg(
-        F.count(F.lit(1)).alias("total_trades"),
-        fp.notional_sum().alias("total_value"),
+    # The trades are read once; everything else looks at one row per symbol, day and hour of the account.
+    cells = mine.groupBy("symbol", "trade_date", "trade_hour").agg(
+        F.count(F.lit(1)).alias("n"), fp.exact_sum(fp.notional_ticks()).alias("value")
+    )
+    by_symbol = F.sum("value").over(Window.partitionBy("symbol"))
+    by_hour = F.sum("n").over(Window.partitionBy("trade_hour"))
+    # Ties: the first symbol by name, the earliest hour.
+    return cells.withColumns({"_symbol_value": by_symbol, "_hour_n": by_hour}).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_trades"),
+        fp.from_ticks(F.sum("value")).alias("total_value"),
         F.count_distinct("symbol").alias("unique_symbols"),
         F.count_distinct("trade_date").alias("active_days"),
+        F.min_by("symbol", F.struct(-F.col("_symbol_value"), F.col("symbol"))).alias("top_symbol"),
+        F.min_by("trade_hour", F.struct(-F.col("_hour_n"), F.col("trade_hour"))).alias("most_active_hour"),
     )
-    by_symbol = mine.groupBy("symbol").agg(fp.exact_sum(fp.notional_ticks()).alias("value"))
-    by_hour = mine.groupBy("trade_hour").agg(F.count(F.lit(1)).alias("n"))
-    # Ties: the first symbol by name, the earliest hour.
-    top_symbol = by_symbol.agg(F.min_by("symbol", F.struct(-F.col("value"), F.col("symbol"))).alias("top_symbol"))
-    top_hour = by_hour.agg(F.min_by("trade_hour", F.struct(-F.col("n"), F.col("trade_hour"))).alias("most_active_hour"))
-    return totals.crossJoin(top_symbol).crossJoin(top_hour)
 
 
 def with_prior_volume(daily: DataFrame, days: int = LOOKBACK_DAYS, volume: str = "total_volume") -> DataFrame:

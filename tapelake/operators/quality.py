@@ -124,38 +124,48 @@ def duplicates(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     )
 
 
-def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
-    """One row per expectation: success, unexpected count and percentage.
+def _totals(df: DataFrame, suite: list[Expectation], extra: dict[str, Column] | None = None) -> DataFrame:
+    """One row of counters: the rows, the offenders of check i as ``bad_i``, and anything ``extra``.
 
     All row checks are counters of a single aggregate over a single scan. A uniqueness check needs its own grouping,
-    whose one-row result joins them.
+    whose one-row result joins them, as ``bad_i`` and ``beyond_first_i``.
     """
-    suite = [e for e in suite if e.kind == "column_exists" or e.column is None or e.keys or e.column in df.columns]
     counters = [F.count(F.lit(1)).alias("rows")]
-    for i, e in enumerate(suite):
-        if e.violated is not None:
-            counters.append(F.count_if(e.violated).alias(f"bad_{i}"))
+    counters += [F.count_if(e.violated).alias(f"bad_{i}") for i, e in enumerate(suite) if e.violated is not None]
+    counters += [column.alias(name) for name, column in (extra or {}).items()]
     totals = df.agg(*counters)
     for i, e in enumerate(suite):
         if e.kind == "unique":
-            totals = totals.crossJoin(duplicates(df, e.keys).select(F.col("every_copy").alias(f"bad_{i}")))
+            copies = duplicates(df, e.keys)
+            totals = totals.crossJoin(copies.toDF(f"bad_{i}", f"beyond_first_{i}"))
+    return totals
+
+
+def _passes(df: DataFrame, i: int, e: Expectation) -> Column:
+    if e.kind == "column_exists":
+        return F.lit(e.column in df.columns)
+    return F.col("rows") >= e.minimum if e.kind == "row_count" else F.col(f"bad_{i}") == 0
+
+
+def _applicable(df: DataFrame, suite: list[Expectation]) -> list[Expectation]:
+    """Checks of absent columns are left to ``column_exists``."""
+    return [e for e in suite if e.kind == "column_exists" or e.column is None or e.keys or e.column in df.columns]
+
+
+def run_suite(df: DataFrame, suite: list[Expectation]) -> DataFrame:
+    """One row per expectation: success, unexpected count and percentage."""
+    suite = _applicable(df, suite)
     results = []
     for i, e in enumerate(suite):
-        zero = F.lit(0).cast("bigint")
-        if e.kind == "column_exists":
-            bad, ok = zero, F.lit(e.column in df.columns)
-        elif e.kind == "row_count":
-            bad, ok = zero, F.col("rows") >= e.minimum
-        else:
-            bad = F.col(f"bad_{i}")
-            ok = bad == 0
+        counted = e.violated is not None or e.kind == "unique"
+        bad = F.col(f"bad_{i}").cast("bigint") if counted else F.lit(0).cast("bigint")
         results.append(
-            F.struct(F.lit(e.name).alias("expectation"), ok.alias("success"), bad.cast("bigint").alias("unexpected_count"))
+            F.struct(F.lit(e.name).alias("expectation"), _passes(df, i, e).alias("success"), bad.alias("unexpected_count"))
         )
     share = F.coalesce(
         F.col("r.unexpected_count").cast("double") / F.nullif(F.col("rows"), F.lit(0)).cast("double") * F.lit(100.0), F.lit(0.0)
     )
-    return totals.select("rows", F.explode(F.array(*results)).alias("r")).select(
+    return _totals(df, suite).select("rows", F.explode(F.array(*results)).alias("r")).select(
         "r.expectation", "r.success", "r.unexpected_count", share.alias("unexpected_percent")
     )
 
@@ -202,12 +212,24 @@ def quality_score(counts: DataFrame) -> DataFrame:
 
 
 def layer_counts(df: DataFrame, key: str, suite: list[Expectation]) -> DataFrame:
-    """The inputs of a layer's score: rows, rows holding any NULL, copies beyond the first, and whether its suite passed."""
+    """The inputs of a layer's score: rows, rows holding any NULL, copies beyond the first, and whether its suite passed.
+
+    Two reads of the layer at most: one for all counters, one to group by the key.
+    """
+    suite = _applicable(df, suite)
+    keyed = [i for i, e in enumerate(suite) if e.keys == (key,)]
+    checked = suite if keyed else [*suite, unique(key)]
+    at = keyed[0] if keyed else len(suite)
     any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in df.columns])
-    base = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(any_null).alias("null_count"))
-    copies = duplicates(df, (key,)).select(F.col("beyond_first").alias("duplicate_count"))
-    passed = suite_summary(run_suite(df, suite)).select(F.col("success").alias("within_sla"))
-    return base.crossJoin(copies).crossJoin(passed).withColumn("invalid_count", F.lit(0).cast("bigint"))
+    totals = _totals(df, checked, {"null_count": F.count_if(any_null)})
+    passed = reduce(lambda a, b: a & b, [_passes(df, i, e) for i, e in enumerate(suite)], F.lit(True))
+    return totals.select(
+        "rows",
+        "null_count",
+        F.lit(0).cast("bigint").alias("invalid_count"),
+        F.col(f"beyond_first_{at}").alias("duplicate_count"),
+        passed.alias("within_sla"),
+    )
 
 
 def layer_scores(layers: dict[str, tuple[DataFrame, str, list[Expectation]]]) -> DataFrame:

@@ -8,7 +8,7 @@ from tapelake.plans.analytics import MEAN, PRICE_STD, VALUE, VOLUME, VWAP
 from tapelake.plans.market_sql import rounded
 from tapelake.plans.registry import query
 from tapelake.plans.selection import SIDED
-from tapelake.streaming.aggregates import tumbling, tumbling_all
+from tapelake.streaming.aggregates import tumbling, tumbling_rollup
 from tapelake.streaming.feeds import alert_feed, live_candles, trade_feed
 
 MINUTE = "time_bucket(INTERVAL '1 minute', timestamp) AS bucket_ts"
@@ -208,7 +208,7 @@ def _tumble_sql(minutes: int) -> str:
 
 @query("st_tumble_agg", " UNION ALL ".join(_tumble_sql(n) for n in (1, 5, 15)))
 def st_tumble_agg(m):
-    return tumbling_all(m.trades.withColumnRenamed("timestamp", "event_time"))
+    return tumbling_rollup(m.trades.withColumnRenamed("timestamp", "event_time"))
 
 
 @query("st_live_candle", f"""SELECT symbol, {MINUTE.replace("bucket_ts", "minute")}, first(price ORDER BY timestamp, trade_id) AS open,

@@ -73,7 +73,7 @@ def udf_dq_metric(m):
 
 @query(
     "scalar_math",
-    f"""SELECT trade_id, {rounded("price", 1)} AS rounded, abs(price - 245) AS distance, price / nullif(quantity % 30, 0) AS guarded, pow(price, 2) AS squared FROM trades""",
+    f"""SELECT trade_id, {rounded("price", 1)} AS rounded, abs(price - 245) AS distance, price / nullif(quantity % 30, 0) AS guarded, {rounded("pow(price, 2)", 4)} AS squared FROM trades""",
 )
 def scalar_math(m):
     price, quantity = F.col("price"), F.col("quantity")
@@ -82,7 +82,7 @@ def scalar_math(m):
         fp.round_half_up(price, 1).alias("rounded"),
         F.abs(price - 245.0).alias("distance"),
         (price / F.nullif(quantity % 30, F.lit(0)).cast("double")).alias("guarded"),
-        F.pow(price, F.lit(2.0)).alias("squared"),
+        fp.round_half_up(F.pow(price, F.lit(2.0)), 4).alias("squared"),
     )
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.functions import fixedpoint as fp
-from tapelake.functions.timing import SUBDAY_INTERVALS, event_time
+from tapelake.functions.timing import SUBDAY_INTERVALS, event_time, interval_seconds
 
 # Fixed values of the stream job: allowed disorder and the window sizes.
 WATERMARK = "5 seconds"
@@ -55,3 +55,33 @@ def tumbling_all(trades: DataFrame, sizes: tuple[str, ...] = WINDOW_SIZES) -> Da
     for size in sizes[1:]:
         out = out.unionByName(tumbling(trades, size))
     return out
+
+
+def tumbling_rollup(trades: DataFrame, sizes: tuple[str, ...] = WINDOW_SIZES) -> DataFrame:
+    """The rows of ``tumbling_all`` from one pass over a batch: trades are folded into windows of the first size,
+    which must divide the others, and those are added up into every size."""
+    base = trades.groupBy("symbol", F.window("event_time", SUBDAY_INTERVALS[sizes[0]])["start"].alias("at")).agg(
+        F.count(F.lit(1)).alias("n"),
+        fp.quantity_sum().alias("volume"),
+        fp.exact_sum(fp.notional_ticks()).alias("value"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+    )
+
+    def inside(size: str) -> Column:
+        micros = F.lit(interval_seconds(size) * 1_000_000)
+        start = F.unix_micros("at") - F.pmod(F.unix_micros("at"), micros)
+        return F.struct(
+            F.timestamp_micros(start).alias("window_start"),
+            F.timestamp_micros(start + micros).alias("window_end"),
+            F.lit(size).alias("window_size"),
+        )
+
+    windows = base.withColumn("w", F.explode(F.array(*[inside(size) for size in sizes])))
+    return windows.groupBy("symbol", "w.window_start", "w.window_end", "w.window_size").agg(
+        F.sum("n").alias("trade_count"),
+        F.sum("volume").alias("total_volume"),
+        fp.vwap_from(F.sum("value"), F.sum("volume")).alias("vwap"),
+        F.max("high").alias("high_price"),
+        F.min("low").alias("low_price"),
+    )

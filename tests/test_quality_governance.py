@@ -184,10 +184,27 @@ def test_freshness(spark):
     assert got == {"a": True, "b": False, "c": True}
 
 
+def latency(spark, values):
+    df = spark.createDataFrame([("2024-01-01 00:00:00", "valid", v) for v in values], "t string, status string, latency_seconds double")
+    rows = health.ingest_health(df.withColumn("timestamp", F.col("t").cast("timestamp"))).collect()
+    return rows[0].latency_p95
+
+
 def test_quantile_from_buckets(spark):
-    df = spark.range(100).select((F.col("id") / 1000.0).alias("x"))
-    got = df.agg(health.histogram_quantile(F.col("x"), 0.5).alias("q")).collect()[0].q
-    assert got == pytest.approx(0.05, abs=0.002)
-    slow = spark.createDataFrame([(3.0,)] * 10, "x double").agg(health.histogram_quantile(F.col("x"), 0.95)).collect()[0][0]
-    assert 1.0 < slow <= 3.0
-    assert df.limit(0).agg(health.histogram_quantile(F.col("x"), 0.95)).collect()[0][0] is None
+    assert latency(spark, [i / 1000 for i in range(101)]) == pytest.approx(0.095, abs=0.002)
+    assert 1.0 < latency(spark, [3.0] * 10) <= 3.0
+    assert latency(spark, [None]) is None
+
+
+def test_silent_windows_raise_alerts(spark):
+    at = ["2024-01-01 00:00:00", "2024-01-01 00:00:01", "2024-01-01 00:21:00"]
+    df = spark.createDataFrame([(t, "valid", 0.01) for t in at], "t string, status string, latency_seconds double")
+    fired = health.ingest_alerts(df.withColumn("timestamp", F.col("t").cast("timestamp")))
+    zero = sorted(str(r.window_start)[11:16] for r in fired.filter("alert = 'BridgeThroughputZero'").collect())
+    assert zero == ["00:05", "00:10", "00:15"]
+
+
+def test_alerts_read_the_feed_once(market):
+    events = market.trades.select("timestamp", F.lit("valid").alias("status"), F.lit(0.1).alias("latency_seconds"))
+    plan = health.ingest_alerts(events)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [event_id") == 1
