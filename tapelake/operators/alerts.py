@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapelake.functions import fixedpoint as fp
-from tapelake.operators.running import Running, with_running
 
 
 @dataclass(frozen=True)
@@ -63,22 +63,63 @@ class Baseline:
         return severity, base, change
 
 
-ALERT_SCHEMA = (
-    "symbol string, severity string, direction string, price double, baseline_price double, pct_change double, "
-    "timestamp timestamp, alert_type string"
-)
+    def replay(self, price: np.ndarray, at_us: np.ndarray, rules: AlertRules) -> list[tuple[int, str, float, float]]:
+        """``observe`` over a run of trades, as (position, alert).
+
+        Trades that change nothing are skipped in blocks once a baseline has held for a few of them: between two
+        changes there is nothing to remember, so the next change is a search.
+        """
+        out, i, n, held = [], 0, len(price), 0
+        prices, times = price.tolist(), at_us.tolist()
+        life, pause = rules.baseline_seconds * 1e6, rules.cooldown_seconds * 1e6
+        while i < n:
+            if held >= _PATIENCE and self.price:
+                end = int(np.searchsorted(at_us, self.since_us + life, side="right"))
+                if self.alerted_us is not None:
+                    i = max(i, int(np.searchsorted(at_us, self.alerted_us + pause, side="left")))
+                i, block = min(i, end), 2 * _PATIENCE
+                while i < end:
+                    moved = np.abs(price[i : min(i + block, end)] - self.price) / self.price >= rules.medium
+                    if moved.any():
+                        i += int(moved.argmax())
+                        break
+                    i, block = min(i + block, end), block * 2
+                if i >= n:
+                    break
+            before = self.since_us, self.price
+            alert = self.observe(prices[i], times[i], rules)
+            held = held + 1 if (self.since_us, self.price) == before else 0
+            if alert is not None:
+                out.append((i, *alert))
+            i += 1
+        return out
+
+
+# Trades a baseline has to hold for before the next change is searched for in blocks.
+_PATIENCE = 32
+
 _FOLD_SCHEMA = (
     "symbol string, severity string, direction string, price double, baseline_price double, change double, us bigint"
 )
 
 
 def with_segments(trades: DataFrame, gap_seconds: float) -> DataFrame:
-    """Number each symbol's stretches of trading, cut wherever it was silent for longer than ``gap_seconds``."""
-    order, chunk = ["us", "trade_id"], F.date_trunc("hour", F.timestamp_micros("us"))
-    spaced = with_running(trades, ["symbol"], chunk, order, {"_previous": Running("previous", F.col("us"))})
-    starts = F.col("_previous").isNull() | (F.col("us") - F.col("_previous") > F.lit(int(gap_seconds * 1e6)))
-    flagged = spaced.withColumn("_starts", starts.cast("bigint")).drop("_previous")
-    return with_running(flagged, ["symbol"], chunk, order, {"segment": Running("sum", F.col("_starts"))}).drop("_starts")
+    """Number stretches of trading of each symbol (``us`` is the time in microseconds).
+
+    A stretch ends where an hour's first trade follows a silence longer than ``gap_seconds``. Only the first and last
+    trade of each hour are looked at, so the trades themselves are neither sorted nor ranked.
+    """
+    hour = F.floor(F.col("us") / F.lit(3_600_000_000)).cast("bigint")
+    rows = trades.withColumn("_hour", hour)
+    along = Window.partitionBy("symbol").orderBy("_hour")
+    hours = (
+        rows.groupBy("symbol", "_hour")
+        .agg(F.min("us").alias("_first"), F.max("us").alias("_last"))
+        .withColumn("_silence", F.col("_first") - F.lag("_last").over(along))
+        .withColumn("_starts", F.coalesce(F.col("_silence") > F.lit(int(gap_seconds * 1e6)), F.lit(True)).cast("bigint"))
+        .select("symbol", "_hour", F.sum("_starts").over(along).alias("segment"))
+    )
+    return rows.join(hours, ["symbol", "_hour"]).drop("_hour")
 
 
 def price_alerts(trades: DataFrame, rules: AlertRules = AlertRules()) -> DataFrame:
@@ -86,30 +127,34 @@ def price_alerts(trades: DataFrame, rules: AlertRules = AlertRules()) -> DataFra
 
     The detector's memory makes a symbol sequential only inside a stretch of trading: after a long enough silence the
     next trade resets it whatever came before. Stretches are therefore separate units of work, each read as a sorted
-    stream with three numbers of state.
+    stream of Arrow batches with three numbers of state.
     """
     rows = trades.select("symbol", "trade_id", "price", F.unix_micros("timestamp").alias("us"))
-    segments = with_segments(rows, rules.quiet_seconds)
+    columns = ["symbol", "severity", "direction", "price", "baseline_price", "change", "us"]
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, state = None, Baseline()
         for batch in batches:
+            symbol, segment = batch["symbol"].to_numpy(), batch["segment"].to_numpy()
+            price, us = batch["price"].to_numpy(), batch["us"].to_numpy()
+            changes = np.flatnonzero((symbol[1:] != symbol[:-1]) | (segment[1:] != segment[:-1])) + 1
             out = []
-            for symbol, segment, price, at in zip(batch["symbol"], batch["segment"], batch["price"], batch["us"]):
-                if (symbol, segment) != current:
-                    current, state = (symbol, segment), Baseline()
-                alert = state.observe(price, int(at), rules)
-                if alert is not None:
-                    severity, base, change = alert
-                    out.append((symbol, severity, "UP" if price > base else "DOWN", price, base, change, int(at)))
-            yield pd.DataFrame(
-                out, columns=["symbol", "severity", "direction", "price", "baseline_price", "change", "us"]
-            )
+            for start, stop in zip([0, *changes], [*changes, len(price)]):
+                if start == stop:
+                    continue
+                key = (symbol[start], segment[start])
+                if key != current:
+                    current, state = key, Baseline()
+                for i, severity, base, change in state.replay(price[start:stop], us[start:stop], rules):
+                    p = price[start + i]
+                    out.append((key[0], severity, "UP" if p > base else "DOWN", p, base, change, us[start + i]))
+            yield pd.DataFrame(out, columns=columns)
 
     ordered = (
-        segments.select("symbol", "segment", "price", "us", "trade_id")
+        with_segments(rows, rules.quiet_seconds)
         .repartition("symbol", "segment")
         .sortWithinPartitions("symbol", "segment", "us", "trade_id")
+        .select("symbol", "segment", "price", "us")
     )
     return ordered.mapInPandas(fold, _FOLD_SCHEMA).select(
         "symbol",

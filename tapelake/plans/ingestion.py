@@ -16,7 +16,7 @@ from tapelake.sources.views import PROCESSED_AT
     """SELECT n AS "offset", event_type, CASE WHEN status IN ('valid', 'invalid') THEN 'decoded' ELSE status END AS status FROM feed""",
 )
 def evt_decode(m):
-    return ingest.decode(m.messages).select("offset", "event_type", "status")
+    return m.decoded.select("offset", "event_type", "status")
 
 
 @query(
@@ -25,7 +25,7 @@ def evt_decode(m):
        CASE status WHEN 'bad_json' THEN 'json_decode_error' WHEN 'invalid' THEN 'validation_error' END AS error FROM feed""",
 )
 def evt_validate(m):
-    return ingest.validate(ingest.decode(m.messages)).select("offset", "event_type", "is_valid", "error")
+    return m.validated.select("offset", "event_type", "is_valid", "error")
 
 
 TOPIC_SQL = """CASE event_type WHEN 'OrderPlaced' THEN 'raw.orders' WHEN 'OrderCancelled' THEN 'raw.orders' WHEN 'TradeExecuted' THEN 'raw.trades'
@@ -41,7 +41,7 @@ TOPIC_SQL = """CASE event_type WHEN 'OrderPlaced' THEN 'raw.orders' WHEN 'OrderC
 FROM feed WHERE status IN ('valid', 'invalid')""",
 )
 def evt_route(m):
-    decoded = ingest.decode(m.messages).filter("status = 'decoded'")
+    decoded = m.decoded.filter("status = 'decoded'")
     return ingest.route(decoded).select("offset", "event_type", "topic", "key")
 
 
@@ -52,7 +52,7 @@ FROM feed WHERE status = 'valid' AND event_type = 'TradeExecuted'""",
 )
 def evt_flatten(m):
     """Valid trades read back from their flat text, which shows the coercion of quoted numbers and of yes."""
-    valid = ingest.validate(ingest.decode(m.messages)).filter("is_valid AND event_type = 'TradeExecuted'")
+    valid = m.validated.filter("is_valid AND event_type = 'TradeExecuted'")
     event = F.from_json("flat", TRADE_EVENT)
     return ingest.flatten(valid).select("offset", event.alias("e")).select(
         "offset", "e.event_type", "e.trade_id", "e.symbol", "e.price", "e.quantity", "e.is_aggressive_buy"
@@ -73,7 +73,7 @@ FROM feed WHERE status = 'valid' AND event_type IN ('QuoteUpdate', 'TradingHalt'
 def evt_flatten_other(m):
     """The exact flat text of types without prices from the data: defaults filled in, integers read as doubles."""
     wanted = F.col("event_type").isin("QuoteUpdate", "TradingHalt", "TradingResume", "MarketStats", "AgentAction")
-    valid = ingest.validate(ingest.decode(m.messages)).filter(F.col("is_valid") & wanted)
+    valid = m.validated.filter(F.col("is_valid") & wanted)
     return ingest.flatten(valid).select("offset", "flat")
 
 
@@ -83,7 +83,7 @@ def evt_flatten_other(m):
 FROM feed WHERE status IN ('bad_json', 'invalid')""",
 )
 def evt_dlq(m):
-    letters = ingest.dead_letters(ingest.validate(ingest.decode(m.messages)))
+    letters = ingest.dead_letters(m.validated)
     body = F.from_json("envelope", "error string, original_message string")
     return letters.select("offset", "value", body.alias("e")).select(
         "offset", F.col("e.error").alias("error"), (F.col("e.original_message") == F.col("value")).alias("keeps_message")
@@ -152,7 +152,7 @@ FEED_EVENTS = """arrivals AS (
 def feed_events(m):
     """Outcome and latency of every message; the feed falls silent for six hours of the 12th."""
     silent = (F.dayofmonth("timestamp") == 12) & (F.hour("timestamp") < 6)
-    checked = ingest.validate(ingest.decode(m.messages)).filter(~silent)
+    checked = m.validated.filter(~silent)
     status = F.when(F.col("status") != "decoded", F.col("status")).when(F.col("is_valid"), "valid").otherwise("invalid")
     # The latency stands in for a measured one: 15 ms to 1.5 s, by the offset.
     latency = ((F.col("offset") * 37) % 100 + 1).cast("double") * F.lit(0.015)
@@ -188,7 +188,7 @@ def ingest_health(m):
 FROM feed WHERE status = 'valid' GROUP BY 1, 2""",
 )
 def ingest_topic_counts(m):
-    valid = ingest.validate(ingest.decode(m.messages)).filter("is_valid")
+    valid = m.validated.filter("is_valid")
     return health.topic_counts(ingest.route(valid), "1 day")
 
 

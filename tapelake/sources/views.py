@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapelake.functions.masking import row_hash
 from tapelake.functions.timing import ts_literal
-from tapelake.operators import bi_views, gold, silver
+from tapelake.operators import bi_views, gold, ingest, silver
 from tapelake.schemas import BASE_TABLES
 from tapelake.session import configure
 from tapelake.sources.messages import message_text
@@ -218,6 +218,14 @@ class Market:
             F.col("timestamp"),
         )
 
+    @cached_property
+    def decoded(self) -> DataFrame:
+        return ingest.decode(self.messages)
+
+    @cached_property
+    def validated(self) -> DataFrame:
+        return ingest.validate(self.decoded)
+
     @cached_property
     def trade_messages(self) -> DataFrame:
         """Flat trade JSON as it arrives on the trade topic."""

@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,11 +81,35 @@ def test_batch_alerts_equal_a_plain_replay(make_trades):
     assert tuples(price_alerts(make_trades(items).repartition(7))) == expected
 
 
-def test_segments_cut_at_silence(make_trades):
-    trades = make_trades([("A", 0, 1, 1), ("A", 300, 1, 1), ("A", 601, 1, 1), ("A", 4000, 1, 1), ("B", 0, 1, 1)])
+def test_segments_cut_only_at_silence(make_trades):
+    trades = make_trades([("A", 0, 1, 1), ("A", 3500, 1, 1), ("A", 3700, 1, 1), ("A", 8000, 1, 1), ("A", 8500, 1, 1), ("B", 0, 1, 1)])
     rows = trades.select("symbol", "trade_id", "price", F.unix_micros("timestamp").alias("us"))
     got = {r.trade_id: r.segment for r in with_segments(rows, 300).collect()}
-    assert got == {"T000000": 1, "T000001": 1, "T000002": 2, "T000003": 3, "T000004": 1}
+    assert got == {"T000000": 1, "T000001": 1, "T000002": 1, "T000003": 2, "T000004": 2, "T000005": 1}
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_replay_equals_trade_by_trade(seed):
+    rng = random.Random(seed)
+    rules = AlertRules(baseline_seconds=rng.choice((30, 300)), cooldown_seconds=rng.choice((0, 10, 60, 500)))
+    n, price, at = 3000, [], []
+    p, t = 100.0, 0
+    for _ in range(n):
+        p = 0.0 if rng.random() < 0.002 else round(max(p, 1.0) * rng.uniform(0.985, 1.015), 4)
+        t += rng.choice((0, 100_000, 1_000_000, 40_000_000 if rng.random() < 0.02 else 0, 400_000_000 if rng.random() < 0.005 else 0))
+        price.append(p)
+        at.append(t)
+    one, expected = Baseline(), []
+    for i in range(n):
+        alert = one.observe(price[i], at[i], rules)
+        if alert:
+            expected.append((i, *alert))
+    many, got = Baseline(), []
+    for start in range(0, n, 700):
+        part = many.replay(np.array(price[start : start + 700]), np.array(at[start : start + 700]), rules)
+        got += [(start + i, *rest) for i, *rest in part]
+    assert got == expected and expected
+    assert many == one
 
 
 def message(trades):
