@@ -144,7 +144,7 @@ def rounded(expr: str, digits: int) -> str:
 
 
 def stddev(n: str, s: str, q: str) -> str:
-    """Sample deviation from exact integer moments."""
-    return (
-        f"CASE WHEN {n} > 1 THEN sqrt(cast({n} * {q} - {s} * {s} AS double) / (cast({n} AS double) * cast({n} - 1 AS double))) END"
-    )
+    """Sample deviation from exact integer moments. The spread goes through text because a direct cast of an integer
+    past 64 bits to double is off by one in the last place."""
+    spread = f"cast(cast({n} * {q} - {s} * {s} AS varchar) AS double)"
+    return f"CASE WHEN {n} > 1 THEN sqrt({spread} / (cast({n} AS double) * cast({n} - 1 AS double))) END"

@@ -210,8 +210,8 @@ def dq_grade(m):
 @query(
     "dq_layer_scores",
     f"""WITH counts AS (
-  SELECT 'bronze' AS layer, count(*) AS rows, 0::BIGINT AS null_count, count(*) - count(DISTINCT trade_id) AS duplicate_count, 0::BIGINT AS invalid_count, true AS within_sla FROM bronze_trades
-  UNION ALL SELECT 'silver', count(*), 0, 0, 0, true FROM silver_trades
+  SELECT 'bronze' AS layer, count(*) AS rows, 0::BIGINT AS null_count, count(*) - count(DISTINCT trade_id) AS duplicate_count, 0::BIGINT AS invalid_count, count(*) FILTER (WHERE price <= 0 OR quantity < 1) = 0 AS within_sla FROM bronze_trades
+  UNION ALL SELECT 'silver', count(*), 0, 0, 0, count(*) FILTER (WHERE price < 0.01::DOUBLE OR price > 100000 OR quantity < 1 OR quantity > 1000000) = 0 FROM silver_trades
   UNION ALL SELECT 'gold', count(*), 0, count(*) - count(DISTINCT symbol), 0, true FROM gold),
 {SCORE_SQL}
 SELECT layer, rows, null_count, duplicate_count, completeness, freshness, uniqueness, overall, grade FROM graded""",
