@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,3 +168,7 @@ def price_alerts(trades: DataFrame, rules: AlertRules = AlertRules()) -> DataFra
         F.timestamp_micros("us").alias("timestamp"),
         F.lit("price_movement").alias("alert_type"),
     )
+
+
+# Executors need not have this package: the functions their tasks run are sent with their code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

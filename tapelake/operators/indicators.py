@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 # The usual MACD periods.
@@ -59,3 +61,7 @@ def macd(candles: DataFrame, fast: int = FAST, slow: int = SLOW, signal: int = S
         .sortWithinPartitions("symbol", "bucket_ts")
     )
     return ordered.mapInPandas(fold, "symbol string, bucket_ts timestamp, macd double, signal double, histogram double")
+
+
+# Executors need not have this package: the functions their tasks run are sent with their code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

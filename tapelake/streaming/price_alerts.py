@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -91,3 +93,7 @@ def price_alert_stream(trades: DataFrame, rules: AlertRules = AlertRules()) -> D
         F.timestamp_micros("us").alias("timestamp"),
         F.lit("price_movement").alias("alert_type"),
     )
+
+
+# Executors need not have this package: the functions their tasks run are sent with their code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
