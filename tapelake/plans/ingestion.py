@@ -107,7 +107,7 @@ def bronze_parse_trade(m):
        cast(CASE WHEN extract(day FROM snapshot_ts) % 2 = 0 THEN extract(day FROM snapshot_ts) ELSE 0 END AS int) AS sequence_number,
        'OrderBookSnapshot' AS event_type, cast(snapshot_ts AS timestamp) AS timestamp, 'raw.orderbook-snapshots' AS _kafka_topic,
        0 AS _kafka_partition, cast(epoch_us(cast(snapshot_ts AS timestamp)) // 1000000 AS bigint) AS _kafka_offset, TIMESTAMP '2024-01-31 00:00:00' AS _ingested_at
-FROM (SELECT *, '{"price":' || cast(price AS varchar) || ',"quantity":' || quantity || ',"order_count":1}' AS lvl FROM book_levels)
+FROM (SELECT *, '{"price":' || cast(price AS varchar) || ',"quantity":' || quantity || ',"order_count":' || order_count || '}' AS lvl FROM book_levels)
 GROUP BY symbol, snapshot_ts""",
 )
 def bronze_parse_orderbook(m):

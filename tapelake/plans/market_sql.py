@@ -78,8 +78,9 @@ FROM trades""",
     "book_levels": """
 SELECT symbol, date_trunc('day', timestamp) AS snapshot_ts,
        CASE WHEN is_aggressive_buy THEN 'BID' ELSE 'ASK' END AS side,
-       CASE WHEN is_aggressive_buy THEN price ELSE price + 500.0 END AS price, quantity, trade_id
-FROM trades""",
+       CASE WHEN is_aggressive_buy THEN price ELSE price + 500.0 END AS price, cast(sum(quantity) AS int) AS quantity,
+       cast(count(*) AS int) AS order_count, min(trade_id) AS trade_id
+FROM trades GROUP BY 1, 2, 3, 4""",
     "books_top": """
 SELECT symbol, snapshot_ts AS timestamp,
        first(price ORDER BY trade_id) FILTER (WHERE side = 'BID') AS best_bid_price,

@@ -159,26 +159,38 @@ class Market:
 
     @cached_property
     def book_levels(self) -> DataFrame:
-        """Flat book levels: the trades of a symbol and day read as resting orders, asks 500 higher."""
+        """Flat book levels: the trades of a symbol and day read as resting orders, asks 500 higher, summed by price.
+
+        A side then has at most one level per price, however many trades there are.
+        """
         bid = F.col("is_aggressive_buy")
-        return self.trades.select(
-            "symbol",
-            F.date_trunc("day", "timestamp").alias("snapshot_ts"),
-            F.when(bid, "BID").otherwise("ASK").alias("side"),
-            F.when(bid, F.col("price")).otherwise(F.col("price") + 500.0).alias("price"),
-            "quantity",
-            "trade_id",
+        return (
+            self.trades.groupBy(
+                "symbol",
+                F.date_trunc("day", "timestamp").alias("snapshot_ts"),
+                F.when(bid, "BID").otherwise("ASK").alias("side"),
+                F.when(bid, F.col("price")).otherwise(F.col("price") + 500.0).alias("price"),
+            )
+            .agg(
+                F.sum(F.col("quantity").cast("bigint")).cast("int").alias("quantity"),
+                F.count(F.lit(1)).cast("int").alias("order_count"),
+                F.min("trade_id").alias("trade_id"),
+            )
         )
 
     @cached_property
     def books(self) -> DataFrame:
         """Order-book snapshots with array sides in arrival order, one per symbol and day."""
-        level = F.struct("trade_id", "price", "quantity")
+        level = F.struct("trade_id", "price", "quantity", "order_count")
 
         def side(name: str):
+            # As long as the price grid at most.
             rows = F.sort_array(F.collect_list(F.when(F.col("side") == name, level)))
             return F.transform(
-                rows, lambda v: F.struct(v["price"].alias("price"), v["quantity"].alias("quantity"), F.lit(1).alias("order_count"))
+                rows,
+                lambda v: F.struct(
+                    v["price"].alias("price"), v["quantity"].alias("quantity"), v["order_count"].alias("order_count")
+                ),
             )
 
         return self.book_levels.groupBy("symbol", F.col("snapshot_ts").alias("timestamp")).agg(
