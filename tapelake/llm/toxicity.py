@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tapelake.llm.common import whole_text
+from tapelake.llm.common import settle, whole_text
 
 GRAMS = (3, 4, 5, 6)
 BUCKET_BITS = 18
@@ -217,17 +217,20 @@ def words(text: str) -> list[str]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, most: int, most_chars: int) -> DataFrame:
-    """``(text, toxic)``: up to ``most`` documents of each class, the first by hash of their text; longer texts than
-    ``most_chars`` are passed over, as the sample must fit the driver."""
+    """``(doc_id, text, toxic)``: up to ``most`` documents of each class, the first by hash of doc_id, once each; longer texts
+    than ``most_chars`` are passed over, as the sample must fit the driver. Ids are chosen first and only the chosen texts
+    move: the ids broadcast are at most twice ``most``."""
     marks = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", whole_text().alias("text")).filter(usable & (F.length("text") <= most_chars)).join(marks, "doc_id")
-    order = F.xxhash64("text")
-    sides = [rows.filter(F.col("toxic") == side).select("text", "toxic").orderBy(order, "text").limit(most) for side in (0, 1)]
-    return sides[0].union(sides[1])
+    short = docs.filter(usable & (F.length(whole_text()) <= most_chars)).select("doc_id").distinct().join(marks, "doc_id")
+    order = F.xxhash64("doc_id")
+    sides = [short.filter((F.col("toxic") > 0) == side).orderBy(order, "doc_id").limit(most) for side in (False, True)]
+    chosen = settle(sides[0].union(sides[1]), "training-ids")
+    rows = docs.select("doc_id", whole_text().alias("text")).filter(F.length("text") <= most_chars)
+    return rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, most: int = 1500, most_chars: int = 20_000) -> Model:
-    rows = training_rows(docs, labels, usable, most, most_chars).toPandas()
+    rows = training_rows(docs, labels, usable, most, most_chars).toPandas().sort_values("doc_id")
     return train(rows["text"].tolist(), rows["toxic"].to_numpy() > 0)
 
 
