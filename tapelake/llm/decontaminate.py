@@ -215,7 +215,9 @@ def contamination(
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(doc_id, item_id, similarity, start_word, n_words)``: every document and item it holds, with the best window."""
     found = contamination(docs.select("doc_id", "text"), benchmark, similarity)
-    return found.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+    # explode() would add a filter on the matches before it, for which they would be searched twice.
+    matches = found.select("doc_id", F.explode_outer("matches").alias("m")).filter("m is not null")
+    return matches.select("doc_id", "m.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
