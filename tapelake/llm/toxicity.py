@@ -90,6 +90,15 @@ def grams(codes: np.ndarray, letters: np.ndarray) -> Grams:
     return Grams(starts, ends, at, bucket)
 
 
+def grams_of(vocabulary: list[str], letters: np.ndarray, at_once: int = 50_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Buckets of the words' n-grams and the words' numbers, some words at a time."""
+    for first in range(0, len(vocabulary), at_once):
+        codes = np.frombuffer(" ".join(vocabulary[first : first + at_once]).encode("utf-32-le", "surrogatepass"), "<u4")
+        found = grams(codes, letters)
+        owner = np.searchsorted(found.starts, np.concatenate(found.at), "right") - 1 + first
+        yield np.concatenate(found.bucket).astype(np.int32), owner.astype(np.int32)
+
+
 def word_means(found: Grams, size: int, value: np.ndarray) -> np.ndarray:
     """For each word the mean of the values of its n-grams that training knew; SMOOTH stands for one or two more of value 0."""
     total, number = np.zeros(size + 3), np.zeros(size + 3)
@@ -142,28 +151,24 @@ def train(texts: list[str], toxic: np.ndarray, width: int = 8, warm: int = 30, r
     """
     letters = word_letters()
     place: dict[str, int] = {}
-    docs = [[place.setdefault(w, len(place)) for w in words(plain(t))] for t in texts]
-    keep = [k for k, d in enumerate(docs) if d]
+    docs = [np.array([place.setdefault(w, len(place)) for w in words(plain(t))], np.int64) for t in texts]
+    keep = [k for k, d in enumerate(docs) if len(d)]
     y = toxic[keep].astype(float)
     if not len(y) or y.min() == y.max():
         rate_of_toxic = float(np.mean(toxic)) if len(toxic) else 0.0
         share = min(max(rate_of_toxic, 0.01), 0.99)
         return Model(np.zeros(1 << BUCKET_BITS), float(np.log(share / (1 - share))))
-    tokens = np.concatenate([np.array(docs[k], np.int64) for k in keep])
+    tokens = np.concatenate([docs[k] for k in keep])
     last = np.cumsum([len(docs[k]) for k in keep])
     first = np.concatenate([[0], last[:-1]])
-    codes = np.frombuffer(" ".join(place).encode("utf-32-le", "surrogatepass"), "<u4")
-    found = grams(codes, letters)
-    position = np.concatenate(found.at)
-    order = np.argsort(position, kind="stable")
-    bucket = np.concatenate(found.bucket)[order]
-    word = np.searchsorted(found.starts, position[order], "right") - 1
     token_doc = np.repeat(np.arange(len(last)), last - first)
     pair = np.unique(token_doc * len(place) + tokens)
     in_docs = np.bincount(pair % len(place), minlength=len(place))  # of words; at least as many for their n-grams
-    common = np.bincount(bucket, in_docs[word], 1 << BUCKET_BITS)[bucket] >= LEAST_DOCUMENTS
-    bucket, word = bucket[common], word[common]
-    number = np.bincount(word, minlength=len(place)) + SMOOTH
+    common = np.zeros(1 << BUCKET_BITS)
+    for b, w in grams_of(list(place), letters):
+        common += np.bincount(b, in_docs[w], 1 << BUCKET_BITS)
+    known = [(b[ok], w[ok]) for b, w in grams_of(list(place), letters) for ok in [common[b] >= LEAST_DOCUMENTS]]
+    number = sum(np.bincount(w, minlength=len(place)) for _, w in known) + SMOOTH
     aside = np.arange(len(y)) % 6 == 5
     weight = np.where(y > 0, TOXIC_SHARE / max(1, y[~aside].sum()), (1 - TOXIC_SHARE) / max(1, (1 - y[~aside]).sum()))
     begin, end, doc = windows(first, last)
@@ -173,14 +178,14 @@ def train(texts: list[str], toxic: np.ndarray, width: int = 8, warm: int = 30, r
     vectors = rng.normal(0, 0.1, (1 << BUCKET_BITS, width)).astype(np.float32)
     softmax = np.concatenate([rng.normal(0, 0.3, (2, width)), np.zeros((2, 1))], axis=1)
     moments = [np.zeros_like(vectors), np.zeros_like(vectors), np.zeros_like(softmax), np.zeros_like(softmax)]
-    used = np.unique(bucket)
+    used = np.flatnonzero(common >= LEAST_DOCUMENTS)
     least, kept = np.inf, None
     for step in range(1, warm + rounds + 1):
         tilt = softmax[1, :-1] - softmax[0, :-1]
         value = vectors[used] @ tilt
         full = np.zeros(1 << BUCKET_BITS)
         full[used] = value
-        means = np.bincount(word, full[bucket], len(place)) / number
+        means = sum(np.bincount(w, full[b], len(place)) for b, w in known) / number
         run = np.concatenate([[0], np.cumsum(means[tokens])])
         if step <= warm:
             lo, hi, mean = first, last, (run[last] - run[first]) / (last - first)
@@ -202,7 +207,7 @@ def train(texts: list[str], toxic: np.ndarray, width: int = 8, warm: int = 30, r
         np.add.at(cover, lo, share)
         np.add.at(cover, hi, -share)
         by_word = np.bincount(tokens, np.cumsum(cover)[:-1], len(place)) / number
-        by_bucket = np.bincount(bucket, by_word[word], 1 << BUCKET_BITS)[used]
+        by_bucket = sum(np.bincount(b, by_word[w], 1 << BUCKET_BITS) for b, w in known)[used]
         to_softmax = np.append(vectors[used].T @ by_bucket, error.sum())
         gradients = (by_bucket[:, None] * tilt + 1e-6 * vectors[used], np.stack([-to_softmax, to_softmax]))
         for what, gradient, k, at in ((vectors, gradients[0], 0, used), (softmax, gradients[1], 2, slice(None))):
