@@ -241,6 +241,8 @@ def search(
     ]
 
     def score(asked: pa.Table, held: pa.Table) -> pa.Table:
+        if not len(asked) or not len(held):
+            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         return best(matrix(asked["embedding"]), asked["vec_id"].to_numpy(), matrix(held["embedding"]), held["vec_id"].to_numpy(), k)
 
     key = ["leaf", "turn", "part"]

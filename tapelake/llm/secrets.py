@@ -137,16 +137,16 @@ def thresholds(docs: DataFrame, limit: float) -> dict[str, int]:
     return out
 
 
-def scan(docs: DataFrame, limit: float = 0.05) -> DataFrame:
-    """The rows of ``docs(text, ...)`` with ``spans``: an array of ``(start, kind, end)`` by start and kind.
+def scan(docs: DataFrame, limit: float = 0.05, into: str = "spans") -> DataFrame:
+    """The rows of ``docs(text, ...)`` with ``spans``, or what ``into`` says: an array of ``(start, kind, end)`` in order.
 
     kind is 0 to 2 for the fixed patterns assign, access and hex, and 3 for tokens found random, unless these overlap a
     fixed one; positions are code points, the end excluded. ``limit`` bounds the estimated share of words among random
     tokens, over all of docs. Null and empty texts have no spans; repeated rows are found alike and count alike; a column
-    named ``spans`` is replaced.
+    of docs named like the new one is replaced.
     """
     passed = [F.lit(x) for item in thresholds(docs, limit).items() for x in item]
-    columns = [c for c in docs.columns if c != "spans"]
+    columns = [c for c in docs.columns if c != into]
     patterns = (ASSIGN, ACCESS, HEX, TOKEN)
     found = docs.select(*columns, whole_text().alias("_text"))
     found = found.select("*", *[F.regexp_extract_all("_text", F.lit(p), F.lit(0)).alias(f"_m{k}") for k, p in enumerate(patterns)])
@@ -161,7 +161,7 @@ def scan(docs: DataFrame, limit: float = 0.05) -> DataFrame:
     else:
         random = F.array().cast(f"array<{SPAN}>")
     spans = F.transform(F.array_sort(F.concat("_base", random)), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return found.select(*columns, spans.alias("spans"))
+    return found.select(*columns, spans.alias(into))
 
 
 def listed(spans: Column) -> Column:
@@ -174,14 +174,15 @@ def digest(docs: DataFrame, limit: float = 0.05) -> DataFrame:
     """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans)`` of each row of docs."""
     found = scan(docs.select("doc_id", "text"), limit).select("doc_id", F.col("spans").alias("all"))
     base = F.filter("all", lambda s: s["kind"] < 3)
-    counts = [F.size(F.filter("all", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    kinds = F.transform("all", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
     return found.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("all")).alias("spans"))
 
 
 def masked(docs: DataFrame, limit: float = 0.05) -> DataFrame:
     """The rows of docs with each secret, or run of overlapping ones, replaced by a mask; ``n_chars``, where there is such
     a column, follows the text."""
-    found = scan(docs, limit)
+    found = scan(docs, limit, "_spans")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def add(state: Column, s: Column) -> Column:
@@ -190,7 +191,7 @@ def masked(docs: DataFrame, limit: float = 0.05) -> DataFrame:
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), more.alias("parts"))
 
     rest = F.substring("text", F.col("_cut.at").cast("int") + 1, F.length("text"))
-    found = found.withColumn("_cut", F.when(F.size("spans") > 0, F.aggregate("spans", start, add)))
+    found = found.withColumn("_cut", F.when(F.size("_spans") > 0, F.aggregate("_spans", start, add)))
     text = F.when(F.col("_cut").isNotNull(), F.concat(F.array_join("_cut.parts", ""), rest)).otherwise(F.col("text"))
     found = found.withColumn("text", text)
     if "n_chars" in docs.columns:
