@@ -186,7 +186,7 @@ def search(
     k: int = 20,
     recall: float = 0.97,
     sample: int = 20_000,
-    leaf_rows: int = 256,
+    leaves: int = 64,
     sample_queries: int = 128,
     block_rows: int = 4096,
     block_queries: int = 2048,
@@ -198,15 +198,16 @@ def search(
     length than the commonest (the shorter if tied) take no part. Rows that share a vec_id count once, with the least
     vector. Queries with fewer rows to choose from return all of them; without vectors the result is empty.
 
-    ``sample`` rows, the first by hash, fit the tree: leaves of about ``leaf_rows`` rows of the table, but at least 16 of
-    the sample. ``sample_queries`` queries calibrate the visits to ``recall``.
+    ``sample`` rows, the first by hash, fit the tree of about ``leaves`` leaves, each of at least 16 of the sample. That number
+    does not grow with the table, so neither do the answers a query collects, k for each leaf it visits; larger leaves are
+    scored in more blocks. ``sample_queries`` queries calibrate the visits to ``recall``.
     """
     valid = settle(usable(vectors), "vectors")
     n = valid.count()
     if n == 0:
         return valid.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     fitted = valid.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()
-    tree = grow(matrix(fitted["embedding"]), max(16, leaf_rows * len(fitted) // n))
+    tree = grow(matrix(fitted["embedding"]), max(16, len(fitted) // leaves))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

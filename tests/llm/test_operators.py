@@ -193,7 +193,7 @@ def test_neighbours_recall_and_odd_vectors(spark):
     odd = [(9020, None), (9040, [0.0] * 64), (9060, [float("nan")] + [1.0] * 63), (9080, [1.0, 2.0]), (None, [1.0] * 64), (9100, [None] + [1.0] * 63)]
     twin = table.filter("vec_id = 20").withColumn("vec_id", F.lit(9021).cast("long"))
     vectors = table.unionByName(spark.createDataFrame(odd, table.schema)).unionByName(twin).unionByName(twin)
-    found = neighbours.search(vectors, F.col("vec_id") % 20 == 0, leaf_rows=16, block_rows=40, block_queries=5).toPandas()
+    found = neighbours.search(vectors, F.col("vec_id") % 20 == 0, leaves=30, block_rows=40, block_queries=5).toPandas()
     rows = {r.vec_id: np.array(r.embedding, float) for r in table.unionByName(twin).collect()}
     ids = np.array(sorted(rows))
     m = np.stack([rows[i] for i in ids])
