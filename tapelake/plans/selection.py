@@ -243,7 +243,7 @@ def page_offset(m):
     """WITH scored AS (
   SELECT symbol, trade_date, close_px - lag(close_px) OVER (PARTITION BY symbol ORDER BY trade_date) AS move FROM daily_trade_summary)
 SELECT symbol, trade_date, cast(move AS double) / 1000000 AS price_change FROM scored
-ORDER BY move DESC NULLS LAST, symbol, trade_date LIMIT 200""",
+ORDER BY move DESC NULLS LAST, symbol, trade_date""",
 )
 def nulls_last_sort(m):
     along = Window.partitionBy("symbol").orderBy("trade_date")
@@ -251,5 +251,4 @@ def nulls_last_sort(m):
     return (
         m.daily.select("symbol", "trade_date", fp.from_ticks(move).alias("price_change"))
         .orderBy(F.desc_nulls_last("price_change"), "symbol", "trade_date")
-        .limit(200)
     )

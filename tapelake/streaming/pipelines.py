@@ -19,7 +19,6 @@ from tapelake.sources.files import parquet_options
 # Fixed values of the stream jobs.
 CHECKPOINT_INTERVAL = "60 seconds"
 BRONZE_INTERVAL = "5 seconds"
-BRONZE_MAX_MESSAGES = 1000
 
 
 def with_trigger(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
