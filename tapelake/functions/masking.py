@@ -10,6 +10,7 @@ from tapelake.functions import fixedpoint as fp
 # Fixed values of the masking contract.
 REDACTED = "***REDACTED***"
 DELETED_PREFIX = "DELETED-"
+NULL_MARK = "\x00"
 
 
 def _col(x: Column | str) -> Column:
@@ -53,5 +54,9 @@ def needs_pseudonym(x: Column | str) -> Column:
 
 
 def row_hash(*columns: Column | str) -> Column:
-    """Change-detection hash of a dimension row: 16 hex digits over the values joined by a pipe."""
-    return F.substring(F.sha2(F.concat_ws("|", *[_col(c) for c in columns]), 256), 1, 16)
+    """Change-detection hash of a dimension row: 16 hex digits over the values joined by a pipe.
+
+    NULL is written as a character that no attribute holds, so it keeps its place and differs from every value.
+    """
+    values = [F.coalesce(_col(c).cast("string"), F.lit(NULL_MARK)) for c in columns]
+    return F.substring(F.sha2(F.concat_ws("|", *values), 256), 1, 16)

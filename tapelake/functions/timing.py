@@ -52,14 +52,15 @@ def on_days(ts: Column | str, first: date | str, last: date | str) -> Column:
 
 
 def parse_iso(text: Column | str) -> Column:
-    """ISO-8601 text, with or without zone, to a timestamp; NULL when malformed."""
-    return F.try_to_timestamp(F.col(text) if isinstance(text, str) else text)
+    """ISO-8601 text, with or without zone and with any number of fraction digits, to a timestamp; NULL when malformed
+    or without a day."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
 
 
 def event_time(text: Column | str) -> Column:
-    """Event time of the stream jobs: millisecond precision, the zone suffix ignored."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.try_to_timestamp(F.substring(text, 1, 23), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS"))
+    """Event time of the stream jobs: read like any other time, then cut to milliseconds."""
+    return F.date_trunc("millisecond", parse_iso(text))
 
 
 def epoch_seconds(ts: Column | str) -> Column:

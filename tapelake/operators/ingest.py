@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapelake.functions.timing import parse_iso, ts_literal
-from tapelake.schemas import BOOK_EVENT, BRONZE_ORDERBOOK, BRONZE_TRADES, TRADE_EVENT, column_names
+from tapelake.schemas import BRONZE_ORDERBOOK, BRONZE_TRADES, TRADE_EVENT, column_names
 
 # Routing of event types.
 ROUTES = {
@@ -91,7 +91,7 @@ EVENTS: dict[str, list[Field]] = {
     ],
     "MarketStats": [
         *_HEADER, Field("symbol"), *_numbers("float", "open", "high", "low", "close"),
-        *_numbers("int", "volume", "trade_count"), Field("vwap", "float"),
+        *_numbers("long", "volume", "trade_count"), Field("vwap", "float"),
     ],
     "TradingHalt": [
         *_strings("symbol", "reason"), Field("level", "int", allowed=HALT_LEVELS),
@@ -106,7 +106,11 @@ EVENTS: dict[str, list[Field]] = {
     ],
 }
 
-_SQL_TYPE = {"str": "string", "float": "double", "int": "int", "bool": "boolean"}
+_SQL_TYPE = {"str": "string", "float": "double", "bool": "boolean"}
+#: Whole numbers must fit the columns they end in.
+_WHOLE_TYPE = {"int": "int", "long": "bigint"}
+NUMBER = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$|^(true|false)$"
+DIGITS = r"^\s*[+-]?\d+\s*$"
 
 
 def _get(v: Column, path: str, target: str) -> Column:
@@ -119,12 +123,19 @@ def _is_string(v: Column) -> Column:
 
 def _is_number(v: Column) -> Column:
     """Numbers, numeric text and booleans, as lax validation takes them."""
-    return _get(v, "$", "double").isNotNull()
+    return _get(v, "$", "double").isNotNull() & _get(v, "$", "string").rlike(NUMBER)
 
 
-def _is_whole(v: Column) -> Column:
-    number = _get(v, "$", "double")
-    return number.isNotNull() & (number == F.floor(number))
+def _whole(text: Column, number: Column, target: str) -> Column:
+    """A whole number given as text and as a double; NULL if it isn't whole or does not fit. Digits are read as such, as
+    a double holds no more than 15 of them."""
+    return F.when(text.rlike(DIGITS), F.trim(text).try_cast(target)).when(
+        text.rlike(NUMBER) & (number == F.floor(number)), number.try_cast(target)
+    )
+
+
+def _whole_value(v: Column, target: str) -> Column:
+    return _whole(_get(v, "$", "string"), _get(v, "$", "double"), target)
 
 
 def _all_present(items: Column, check) -> Column:
@@ -135,8 +146,8 @@ def _level_ok(v: Column) -> Column:
     count = _get(v, "$.order_count", "variant")
     return (
         _is_number(_get(v, "$.price", "variant"))
-        & _is_whole(_get(v, "$.quantity", "variant"))
-        & (count.isNull() | _is_whole(count))
+        & _whole_value(_get(v, "$.quantity", "variant"), "int").isNotNull()
+        & (count.isNull() | _whole_value(count, "int").isNotNull())
     )
 
 
@@ -149,8 +160,8 @@ def field_ok(data: Column, field: Field) -> Column:
             ok = ok & _get(v, "$", "string").isin(*field.allowed)
     elif field.kind == "float":
         ok = _is_number(v)
-    elif field.kind == "int":
-        ok = _is_whole(v)
+    elif field.kind in _WHOLE_TYPE:
+        ok = _whole_value(v, _WHOLE_TYPE[field.kind]).isNotNull()
         if field.allowed:
             ok = ok & _get(v, "$", "double").isin(*[float(x) for x in field.allowed])
     elif field.kind == "bool":
@@ -172,15 +183,15 @@ def field_value(data: Column, field: Field) -> Column:
     v = data[field.name]
     if field.kind == "bool":
         value = F.lower(_get(v, "$", "string")).isin(*TRUE_TEXT)
-    elif field.kind == "int":
-        value = _get(v, "$", "double").cast("int")
+    elif field.kind in _WHOLE_TYPE:
+        value = _whole_value(v, _WHOLE_TYPE[field.kind])
     elif field.kind == "levels":
         value = F.transform(
             _get(v, "$", "array<variant>"),
             lambda level: F.struct(
                 _get(level, "$.price", "double").alias("price"),
-                _get(level, "$.quantity", "double").cast("int").alias("quantity"),
-                F.coalesce(_get(level, "$.order_count", "double").cast("int"), F.lit(0)).alias("order_count"),
+                _whole_value(_get(level, "$.quantity", "variant"), "int").alias("quantity"),
+                F.coalesce(_whole_value(_get(level, "$.order_count", "variant"), "int"), F.lit(0)).alias("order_count"),
             ),
         )
     elif field.kind == "strings":
@@ -285,20 +296,103 @@ def _lineage(ingested_at: str | None) -> dict[str, Column]:
         "_kafka_partition": F.col("partition"),
         "_kafka_offset": F.col("offset"),
         "_ingested_at": ts_literal(ingested_at) if ingested_at else F.current_timestamp(),
+    }
+
+
+_LEVELS = "array<struct<price:string,quantity:string,order_count:string>>"
+TRADE_TEXT = ", ".join(f"{name} string" for name in column_names(TRADE_EVENT))
+BOOK_TEXT = f"event_type string, event_id string, timestamp string, symbol string, bids {_LEVELS}, asks {_LEVELS}, sequence_number string"
+
+
+def _number_of(text: Column) -> Column:
+    """A finite number from text, as numbers and quoted numbers both arrive; NULL otherwise."""
+    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.when(F.abs(number) < float("inf"), number)
+
+
+def _whole_of(text: Column, target: str) -> Column:
+    return _whole(text, _number_of(text), target)
+
+
+def _flag_of(text: Column) -> Column:
+    return F.when(F.lower(text).isin(*TRUE_TEXT), True).when(F.lower(text).isin(*BOOL_TEXT), False)
+
+
+def _with_reason(messages: DataFrame, text_schema: str, values: dict[str, Column], needed: list[str]) -> DataFrame:
+    """Fields as text, ``values`` over them under their own names, and ``reason``: why a message cannot enter Bronze, or
+    NULL. ``needed`` values must be there; what is there must be readable."""
+    kept = [c for c in ("topic", "partition", "offset") if c in messages.columns]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    parsed = messages.select(*kept, "value", F.from_json("value", f"{text_schema}, _broken string", options).alias("event"))
+    rows = parsed.select(*kept, "value", F.col("event").isNull().alias("_none"), "event.*")
+    reason = F.when(F.col("_none") | F.col("_broken").isNotNull(), F.lit("bad_json"))
+    for name in needed:
+        reason = reason.when(F.col(name).isNull(), F.lit(f"missing_{name}"))
+    for name, value in values.items():
+        reason = reason.when(F.col(name).isNotNull() & value.isNull(), F.lit(f"bad_{name}"))
+    return rows.withColumns({**values, "reason": reason}).drop("_none", "_broken")
+
+
+def read_trades(messages: DataFrame) -> DataFrame:
+    """Every flat trade message with its coerced fields and ``reason``, NULL where it can enter Bronze."""
+    values = {
+        "price": _number_of(F.col("price")),
+        "quantity": _whole_of(F.col("quantity"), "int"),
+        "is_aggressive_buy": _flag_of(F.col("is_aggressive_buy")),
         "timestamp": parse_iso("timestamp"),
     }
+    return _with_reason(messages, TRADE_TEXT, values, ["trade_id", "symbol", "price", "quantity", "timestamp"])
+
+
+def read_orderbooks(messages: DataFrame) -> DataFrame:
+    """Every flat snapshot message with its coerced fields and ``reason``, NULL where it can enter Bronze. A level with
+    an unreadable number makes its snapshot unreadable."""
+
+    def levels(name: str) -> Column:
+        def readable(text: Column, value: Column) -> Column:
+            return text.isNull() | value.isNotNull()
+
+        whole = F.transform(
+            F.col(name),
+            lambda v: F.struct(
+                _number_of(v["price"]).alias("price"),
+                _whole_of(v["quantity"], "int").alias("quantity"),
+                _whole_of(v["order_count"], "int").alias("order_count"),
+            ),
+        )
+        fine = F.forall(
+            F.arrays_zip(F.col(name).alias("text"), whole.alias("value")),
+            lambda z: readable(z["text"]["price"], z["value"]["price"])
+            & readable(z["text"]["quantity"], z["value"]["quantity"])
+            & readable(z["text"]["order_count"], z["value"]["order_count"]),
+        )
+        return F.when(fine, whole)
+
+    values = {
+        "bids": levels("bids"),
+        "asks": levels("asks"),
+        "sequence_number": _whole_of(F.col("sequence_number"), "int"),
+        "timestamp": parse_iso("timestamp"),
+    }
+    return _with_reason(messages, BOOK_TEXT, values, ["symbol", "timestamp"])
+
+
+def rejects(read: DataFrame) -> DataFrame:
+    """``(topic, partition, offset, value, reason)`` of the messages that cannot enter Bronze."""
+    return read.filter(F.col("reason").isNotNull()).select("topic", "partition", "offset", "value", "reason")
 
 
 def parse_trades(messages: DataFrame, ingested_at: str | None = None) -> DataFrame:
-    """Flat trade JSON to the Bronze layout; rows without the required values are left out."""
-    rows = from_flat_json(messages, TRADE_EVENT).withColumns(_lineage(ingested_at))
-    return rows.select(*column_names(BRONZE_TRADES)).dropna(subset=["trade_id", "symbol", "price", "quantity", "timestamp"])
+    """Flat trade JSON to the Bronze layout; ``rejects(read_trades(messages))`` are the messages left out."""
+    rows = read_trades(messages).filter(F.col("reason").isNull())
+    return rows.withColumns(_lineage(ingested_at)).select(*column_names(BRONZE_TRADES))
 
 
 def parse_orderbooks(messages: DataFrame, ingested_at: str | None = None) -> DataFrame:
-    """Flat snapshot JSON to the Bronze layout: sides as JSON text, a missing sequence number as 0."""
+    """Flat snapshot JSON to the Bronze layout: sides as JSON text, a missing sequence number as 0;
+    ``rejects(read_orderbooks(messages))`` are the messages left out."""
     empty = F.lit("[]")
-    rows = from_flat_json(messages, BOOK_EVENT).withColumns(
+    rows = read_orderbooks(messages).filter(F.col("reason").isNull()).withColumns(
         {
             **_lineage(ingested_at),
             "bids_json": F.coalesce(F.to_json("bids"), empty),
@@ -306,4 +400,4 @@ def parse_orderbooks(messages: DataFrame, ingested_at: str | None = None) -> Dat
             "sequence_number": F.coalesce("sequence_number", F.lit(0)),
         }
     )
-    return rows.select(*column_names(BRONZE_ORDERBOOK)).dropna(subset=["symbol", "timestamp"])
+    return rows.select(*column_names(BRONZE_ORDERBOOK))

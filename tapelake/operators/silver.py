@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tapelake.functions.book import parse_levels, top_of_book
 from tapelake.functions.timing import ts_literal
 from tapelake.schemas import SILVER_ORDERBOOK, SILVER_TRADES, column_names
+from tapelake.sources.files import read_or_empty, write_by_day
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -65,6 +66,18 @@ def silver_trades(
     return enrich(rows, dim_symbol).withColumn("_processed_at", stamp).select(*column_names(SILVER_TRADES))
 
 
+def run_silver_job(
+    bronze: DataFrame, dim_symbol: DataFrame, path: str, since: str | None = None, processed_at: str | None = None
+) -> None:
+    """Append to the day-partitioned table at ``path`` the trades it lacks; with ``since``, reading only rows ingested
+    after it. Ids are compared with the whole table, of which that column alone is read, so a rerun or an old replay adds
+    nothing."""
+    if since is not None:
+        bronze = bronze.filter(F.col("_ingested_at") > ts_literal(since))
+    held = read_or_empty(bronze.sparkSession, path, f"{SILVER_TRADES}, day date")
+    write_by_day(silver_trades(bronze, dim_symbol, held, processed_at=processed_at), path)
+
+
 def silver_orderbook(
     bronze: DataFrame,
     dim_symbol: DataFrame,

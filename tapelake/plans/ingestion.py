@@ -114,6 +114,53 @@ def bronze_parse_orderbook(m):
     return ingest.parse_orderbooks(m.book_messages, ingested_at=PROCESSED_AT)
 
 
+def odd_trade_messages(m):
+    """The trade topic with numbers quoted or with a fraction, times of 0, 1, 3 and 6 fraction digits, and, by offset,
+    what Bronze cannot hold."""
+    kind = F.col("offset") % 13
+    changes = {
+        1: (r'"quantity":(\d+)', '"quantity":"$1"'),
+        2: (r'"quantity":(\d+)', '"quantity":$1.0'),
+        3: (r'"quantity":(\d+)', '"quantity":3000000000'),
+        4: (r'"price":[^,]+', '"price":"1.5d"'),
+        5: (r'"price":([^,]+)', '"price":"$1"'),
+        6: (r'"trade_id":"[^"]*",', ""),
+        7: (r"^(.{60}).*$", "$1"),
+        8: (r"\.\d{6}Z", "Z"),
+        9: (r"\.(\d)\d{5}Z", ".$1Z"),
+        10: (r"\.(\d{3})\d{3}Z", ".$1Z"),
+        11: (r'"timestamp":"[^"]*"', '"timestamp":"soon"'),
+    }
+    value = F.col("value")
+    for number, (pattern, to) in changes.items():
+        value = F.when(kind == number, F.regexp_replace("value", pattern, to)).otherwise(value)
+    return m.trade_messages.withColumn("value", value)
+
+
+ACCEPTED_SQL = """SELECT trade_id, symbol, price, quantity, is_aggressive_buy,
+       CASE _kafka_offset % 13 WHEN 8 THEN date_trunc('second', timestamp) WHEN 10 THEN date_trunc('millisecond', timestamp)
+            WHEN 9 THEN make_timestamp(epoch_us(timestamp) // 100000 * 100000) ELSE timestamp END AS timestamp, _kafka_offset
+FROM trades WHERE _kafka_offset % 13 NOT IN (3, 4, 6, 7, 11)"""
+ACCEPTED = ("trade_id", "symbol", "price", "quantity", "is_aggressive_buy", "timestamp", "_kafka_offset")
+
+
+@query("bronze_parse_trade_coerced", ACCEPTED_SQL)
+def bronze_parse_trade_coerced(m):
+    return ingest.parse_trades(odd_trade_messages(m), ingested_at=PROCESSED_AT).select(*ACCEPTED)
+
+
+@query(
+    "bronze_rejects",
+    """SELECT 'raw.trades' AS topic, _kafka_partition AS "partition", _kafka_offset AS "offset",
+       CASE _kafka_offset % 13 WHEN 3 THEN 'bad_quantity' WHEN 4 THEN 'bad_price' WHEN 6 THEN 'missing_trade_id' WHEN 7 THEN 'bad_json'
+            ELSE 'bad_timestamp' END AS reason
+FROM trades WHERE _kafka_offset % 13 IN (3, 4, 6, 7, 11)""",
+)
+def bronze_rejects(m):
+    """With ``bronze_parse_trade_coerced`` every message of the topic is accounted for."""
+    return ingest.rejects(ingest.read_trades(odd_trade_messages(m))).select("topic", "partition", "offset", "reason")
+
+
 METRICS_SQL = """WITH ranked AS (
   SELECT *, row_number() OVER (PARTITION BY symbol, snapshot_ts, side ORDER BY CASE WHEN side = 'BID' THEN -price ELSE price END, trade_id) AS rn
   FROM book_levels),

@@ -11,10 +11,12 @@ from tapelake.functions.timing import event_time
 from tapelake.operators import gold, ingest, orderbook, silver
 from tapelake.plans.analytics import VOLUME, VWAP
 from tapelake.plans.charts import SLOW_RULES, _alert_sql
+from tapelake.plans.ingestion import ACCEPTED, ACCEPTED_SQL, odd_trade_messages
 from tapelake.plans.registry import query
-from tapelake.schemas import BOOK_EVENT, BRONZE_TRADES, SYMBOL_REFERENCE, TRADE_EVENT
+from tapelake.schemas import BOOK_EVENT, BRONZE_ORDERBOOK, BRONZE_TRADES, SILVER_TRADES, SYMBOL_REFERENCE, TRADE_EVENT
 from tapelake.session import scratch_folder
 from tapelake.sources import files, kafka
+from tapelake.sources.views import PROCESSED_AT
 from tapelake.streaming import aggregates, pipelines
 from tapelake.streaming.price_alerts import price_alert_stream
 
@@ -150,6 +152,69 @@ def bronze_append(m):
     return table.select("trade_id", "symbol", "price", "quantity", "timestamp", "day", "_kafka_offset")
 
 
+@query("bronze_append_coerced", ACCEPTED_SQL)
+def bronze_append_coerced(m):
+    """Every readable form of numbers and times through the Bronze stream."""
+    base = scratch_folder(m.spark, "bronze-forms")
+    kafka.record(odd_trade_messages(m), f"{base}/topic")
+    source = kafka.read_recorded(m.spark, f"{base}/topic")
+    pipelines.append_bronze_trades(source, f"{base}/t", f"{base}/checkpoint", interval=None).awaitTermination()
+    return m.spark.read.schema(f"{BRONZE_TRADES}, day date").parquet(f"{base}/t").select(*ACCEPTED)
+
+
+@query(
+    "bronze_append_orderbook",
+    """SELECT symbol, cast(snapshot_ts AS timestamp) AS timestamp, cast(snapshot_ts AS date) AS day,
+       cast(CASE WHEN extract(day FROM snapshot_ts) % 2 = 0 THEN extract(day FROM snapshot_ts) ELSE 0 END AS int) AS sequence_number
+FROM book_levels GROUP BY symbol, snapshot_ts""",
+)
+def bronze_append_orderbook(m):
+    base = scratch_folder(m.spark, "bronze-books")
+    kafka.record(m.book_messages, f"{base}/topic")
+    source = kafka.read_recorded(m.spark, f"{base}/topic")
+    pipelines.append_bronze_orderbooks(source, f"{base}/t", f"{base}/checkpoint", interval=None).awaitTermination()
+    table = m.spark.read.schema(f"{BRONZE_ORDERBOOK}, day date").parquet(f"{base}/t")
+    return table.select("symbol", "timestamp", "day", "sequence_number")
+
+
+SILVER_JOB_SQL = f"SELECT {TRADE}, timestamp, trading_date AS day FROM trades"
+SILVER_JOB = ("trade_id", "symbol", "price", "quantity", "timestamp", "day")
+
+
+@query("silver_job_rerun", SILVER_JOB_SQL)
+def silver_job_rerun(m):
+    """Part of Bronze, then all of it with its replays, then all of it again."""
+    path = f"{scratch_folder(m.spark, 'silver-job')}/t"
+    part = m.bronze_trades.filter("_kafka_offset < 100000000 AND _kafka_offset % 4 <> 1")
+    for bronze in (part, m.bronze_trades, m.bronze_trades):
+        silver.run_silver_job(bronze, m.dim_symbol, path, processed_at=PROCESSED_AT)
+    return m.spark.read.schema(f"{SILVER_TRADES}, day date").parquet(path).select(*SILVER_JOB)
+
+
+@query("st_silver_stream", SILVER_JOB_SQL)
+def st_silver_stream(m):
+    """Every tenth trade arrives once more when all days have passed, later than any watermark would remember."""
+    base = scratch_folder(m.spark, "silver-stream")
+    topic = f"{base}/topic"
+
+    def run():
+        source = kafka.read_recorded(m.spark, topic)
+        pipelines.silver_stream(source, m.dim_symbol, f"{base}/t", f"{base}/checkpoint", interval=None).awaitTermination()
+
+    kafka.record(m.trade_messages, topic)
+    run()
+    replays = m.trade_messages.filter("offset % 10 = 0").withColumn("offset", F.col("offset") + 100_000_000)
+    kafka.record(replays, f"{base}/more")
+    m.spark.read.schema(kafka.RECORDED).parquet(f"{base}/more").write.mode("append").parquet(topic)
+    run()
+    return m.spark.read.schema(f"{SILVER_TRADES}, day date").parquet(f"{base}/t").select(*SILVER_JOB)
+
+
+@query("sample_hashed", f"SELECT {TRADE} FROM trades WHERE substr(md5(trade_id), 1, 8) < '40000000'")
+def sample_hashed(m):
+    return files.sample_hashed(m.trades, "trade_id", 0.25).select("trade_id", "symbol", "price", "quantity")
+
+
 @query("st_event_time", "SELECT trade_id, date_trunc('millisecond', timestamp) AS event_time FROM trades")
 def st_event_time(m):
     rows = aggregates.with_event_time(trade_stream(m, recorded_trades(m))).select("trade_id", "event_time")
@@ -268,13 +333,13 @@ def st_price_alert_stream(m):
     more = f"{scratch_folder(m.spark, 'closing')}/t"
     kafka.record(closing, more)
     m.spark.read.schema(kafka.RECORDED).parquet(more).write.mode("append").parquet(topic)
-    pipelines.use_rocksdb_state(m.spark)
     timed = aggregates.with_event_time(trade_stream(m, topic), "5 seconds")
     schema = (
         "symbol string, severity string, direction string, price double, baseline_price double, pct_change double, "
         "timestamp timestamp, alert_type string"
     )
-    return drain(m, price_alert_stream(timed, SLOW_RULES), schema)
+    with pipelines.rocksdb_state(m.spark):
+        return drain(m, price_alert_stream(timed, SLOW_RULES), schema)
 
 
 @query(

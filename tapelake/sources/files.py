@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,16 @@ def read_symbol_reference(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SYMBOL_REFERENCE).json(path, multiLine=True)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet table, without rows where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def write_by_day(df: DataFrame, path: str, ts: str = "timestamp", day: str = "day", mode: str = "append") -> None:
     """Day-partitioned Parquet.
 
@@ -83,6 +94,13 @@ def sample_capped(df: DataFrame, cap: int = 100_000) -> DataFrame:
     return df.limit(cap)
 
 
+def sample_hashed(df: DataFrame, key: str, share: float) -> DataFrame:
+    """About ``share`` of the rows, chosen by a hash of ``key``: the same ones in every run, without a shuffle."""
+    if not 0 <= share < 1:
+        raise ValueError("share must be at least 0 and under 1")
+    return df.filter(F.substring(F.md5(F.col(key).cast("string")), 1, 8) < f"{int(share * 2**32):08x}")
+
+
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     """Rows per layer. Each layer counts on its own, so a Parquet layer answers from file footers."""
     counts = [

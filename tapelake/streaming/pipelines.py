@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tapelake.operators import ingest
+from tapelake.operators import ingest, silver
 from tapelake.sources.files import parquet_options
 
 # Fixed values of the stream jobs.
@@ -104,16 +104,15 @@ def split_late(
 ) -> StreamingQuery:
     """Send rows older than the newest event of earlier batches less ``delay`` to a table of their own.
 
-    Each batch writes the newest event time it has seen (one row) under its batch id, so the limit survives a restart
-    and a replayed batch sees the limit it saw first.
+    Each batch writes the newest event time up to its end (one row) under its batch id, so the limit survives a restart,
+    a replayed batch sees the limit it saw first, and a batch reads one entry however many came before.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         newest = batch.select(F.lit(None).cast("timestamp").alias("newest")).limit(0)
         if batch_id > 0:
-            seen = spark.read.schema("newest timestamp, batch_id bigint").parquet(progress)
-            newest = seen.filter(F.col("batch_id") < batch_id).select("newest")
+            newest = spark.read.schema("newest timestamp").parquet(_batch_folder(progress, batch_id - 1))
         limit = newest.agg((F.max("newest") - F.expr(f"INTERVAL {delay}")).alias("_limit"))
         batch.persist()
         try:
@@ -121,7 +120,8 @@ def split_late(
             is_late = F.coalesce(F.col("event_time") < F.col("_limit"), F.lit(False))
             marked.filter(~is_late).drop("_limit").write.mode("overwrite").parquet(_batch_folder(on_time, batch_id))
             marked.filter(is_late).drop("_limit").write.mode("overwrite").parquet(_batch_folder(late, batch_id))
-            batch.agg(F.max("event_time").alias("newest")).write.mode("overwrite").parquet(_batch_folder(progress, batch_id))
+            own = batch.agg(F.max("event_time").alias("newest")).unionByName(newest)
+            own.agg(F.max("newest").alias("newest")).write.mode("overwrite").parquet(_batch_folder(progress, batch_id))
         finally:
             batch.unpersist()
 
@@ -129,23 +129,50 @@ def split_late(
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, count: int | None = None) -> Iterator[None]:
+def stream_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Streams started inside this block keep these settings; the session gets its own back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def state_partitions(spark: SparkSession, count: int | None = None):
     """Start stateful streams inside this block to fix their number of state partitions, by default one per core.
 
     A stream keeps the number it first started with, and each partition is a store of its own on every batch.
     """
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(count or spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return stream_settings(spark, {"spark.sql.shuffle.partitions": str(count or spark.sparkContext.defaultParallelism)})
+
+
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def rocksdb_state(spark: SparkSession):
+    """Start streams inside this block to keep their state in RocksDB: off the JVM heap, with changelog checkpoints."""
+    return stream_settings(spark, ROCKSDB_STATE)
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB: off the JVM heap, with changelog checkpoints."""
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    """The same for all streams the session starts from here on."""
+    for key, value in ROCKSDB_STATE.items():
+        spark.conf.set(key, value)
+
+
+def silver_stream(
+    messages: DataFrame, dim_symbol: DataFrame, path: str, checkpoint: str, interval: str | None = CHECKPOINT_INTERVAL
+) -> StreamingQuery:
+    """Trade messages to the Silver table. Each batch runs the Silver job, which skips trades the table holds, so neither
+    a replayed batch nor a replay older than any watermark adds a row."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        silver.run_silver_job(ingest.parse_trades(batch), dim_symbol, path)
+
+    return with_trigger(messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), interval).start()
