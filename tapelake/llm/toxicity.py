@@ -1,7 +1,8 @@
-"""Toxicity by bags of subwords: character n-grams have embeddings, averaged over a window's words into a linear softmax.
+"""Toxicity by bags of subwords: character n-grams have embeddings, averaged over a document's words into a linear softmax.
 
-A document scores as its most toxic window of words, so that a few words in a long text count. Embeddings and softmax are
-trained jointly: first on the mean of whole documents, then on each document's most toxic window. Misspelt and inflected
+A document's bag is its few most toxic different words, wherever they stand, so that a few words in a long text count, but
+one alone does not decide. Embeddings and softmax are trained jointly: first on the mean of all different words of each
+document, then on its most toxic ones. Misspelt and inflected
 words share n-grams, hence vectors, with those seen. As the model is linear in the averages, scoring needs one number for
 each n-gram bucket: the product of its embedding with the difference of the two classes' weights.
 """
@@ -25,7 +26,8 @@ from tapelake.llm.common import settle, whole_text
 
 GRAMS = (3, 4, 5, 6)
 BUCKET_BITS = 18
-WINDOW = 3
+#: So many different words, the most toxic ones, make a document's bag.
+TOP = 3
 GAIN = 10.0
 SMOOTH = 2.0
 #: An n-gram of fewer training documents is not learnt, as it could only be learnt by heart.
@@ -80,8 +82,8 @@ def grams(codes: np.ndarray, letters: np.ndarray) -> Grams:
         bucket.append((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
     starts, ends = edges[::2] + 1, edges[1::2] + 1
     # Whole words, as differences of running sums: the powers of an odd number can be undone.
-    power = np.cumprod(np.concatenate([[1], np.full(len(marked), MULTIPLIER)]).astype(np.uint64))
-    back = np.cumprod(np.concatenate([[1], np.full(len(marked), INVERSE)]).astype(np.uint64))
+    power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(marked), MULTIPLIER)]))
+    back = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(marked), INVERSE)]))
     run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(marked * power[:-1])])
     h = (run[ends] - run[starts]) * back[starts]
     h = (h ^ (h >> np.uint64(31))) * MULTIPLIER
@@ -109,13 +111,19 @@ def word_means(found: Grams, size: int, value: np.ndarray) -> np.ndarray:
     return (total[found.ends] - total[found.starts]) / (number[found.ends] - number[found.starts] + SMOOTH)
 
 
-def windows(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, word after the last, and document of all windows of documents of words first..last-1: each run of
-    WINDOW words, or the whole of a shorter document."""
-    n = np.maximum(last - first - WINDOW + 1, (last > first).astype(np.int64))
-    doc = np.repeat(np.arange(len(first)), n)
-    begin = first[doc] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return begin, np.minimum(begin + WINDOW, last[doc]), doc
+def most_toxic(doc: np.ndarray, score: np.ndarray, most: int) -> np.ndarray:
+    """Which rows are among the ``most`` best of their document, the first if tied; ``doc`` does not fall."""
+    if not len(doc):
+        return np.zeros(0, np.int64)
+    new = np.diff(doc, prepend=-1) > 0
+    heads, number = np.flatnonzero(new), np.cumsum(new) - 1
+    left, out = score.astype(float), []
+    for _ in range(most):
+        best = np.maximum.reduceat(left, heads)
+        at = np.flatnonzero((left == best[number]) & (left > -np.inf))
+        out.append(at[np.flatnonzero(np.diff(number[at], prepend=-1))])
+        left[out[-1]] = -np.inf
+    return np.concatenate(out)
 
 
 @dataclass
@@ -126,7 +134,7 @@ class Model:
     bias: float
 
     def logits(self, texts: list[str], letters: np.ndarray) -> np.ndarray:
-        """Of each text's most toxic window; the bias alone for one without words."""
+        """Of each text's most toxic words; the bias alone for one without words."""
         codes, ends = [], []
         for text in texts:
             one = np.frombuffer(plain(text).encode("utf-32-le", "surrogatepass"), "<u4")
@@ -134,14 +142,13 @@ class Model:
             ends.append(len(one) + 1)
         joined = np.concatenate(codes)
         found = grams(joined, letters)
-        total = np.concatenate([[0], np.cumsum(word_means(found, len(joined), self.value))])
-        last = np.searchsorted(found.starts, np.cumsum(ends), "right")
-        first = np.concatenate([[0], last[:-1]])
-        begin, end, doc = windows(first, last)
-        mean = (total[end] - total[begin]) / (end - begin)
-        out = np.full(len(texts), -np.inf)
-        np.maximum.at(out, doc, mean)
-        return GAIN * np.where(np.isfinite(out), out, 0.0) + self.bias
+        score = word_means(found, len(joined), self.value)
+        doc = np.searchsorted(np.cumsum(ends), found.starts - 1, "right")
+        _, different = np.unique((doc << BUCKET_BITS) | found.bucket[-1], return_index=True)
+        doc, score = doc[different], score[different]
+        top = most_toxic(doc, score, TOP)
+        total, number = np.bincount(doc[top], score[top], len(texts)), np.bincount(doc[top], minlength=len(texts))
+        return GAIN * total / np.maximum(number, 1) + self.bias
 
 
 def train(texts: list[str], toxic: np.ndarray, width: int = 8, warm: int = 30, rounds: int = 150, rate: float = 0.03, seed: int = 42) -> Model:
@@ -159,11 +166,9 @@ def train(texts: list[str], toxic: np.ndarray, width: int = 8, warm: int = 30, r
         share = min(max(rate_of_toxic, 0.01), 0.99)
         return Model(np.zeros(1 << BUCKET_BITS), float(np.log(share / (1 - share))))
     tokens = np.concatenate([docs[k] for k in keep])
-    last = np.cumsum([len(docs[k]) for k in keep])
-    first = np.concatenate([[0], last[:-1]])
-    token_doc = np.repeat(np.arange(len(last)), last - first)
-    pair = np.unique(token_doc * len(place) + tokens)
-    in_docs = np.bincount(pair % len(place), minlength=len(place))  # of words; at least as many for their n-grams
+    token_doc = np.repeat(np.arange(len(keep)), [len(docs[k]) for k in keep])
+    doc, word = np.divmod(np.unique(token_doc * len(place) + tokens), len(place))
+    in_docs = np.bincount(word, minlength=len(place))  # at least as many for the words' n-grams
     common = np.zeros(1 << BUCKET_BITS)
     for b, w in grams_of(list(place), letters):
         common += np.bincount(b, in_docs[w], 1 << BUCKET_BITS)
@@ -171,8 +176,6 @@ def train(texts: list[str], toxic: np.ndarray, width: int = 8, warm: int = 30, r
     number = sum(np.bincount(w, minlength=len(place)) for _, w in known) + SMOOTH
     aside = np.arange(len(y)) % 6 == 5
     weight = np.where(y > 0, TOXIC_SHARE / max(1, y[~aside].sum()), (1 - TOXIC_SHARE) / max(1, (1 - y[~aside]).sum()))
-    begin, end, doc = windows(first, last)
-    heads = np.flatnonzero(np.diff(doc, prepend=-1))
 
     rng = np.random.default_rng(seed)
     vectors = rng.normal(0, 0.1, (1 << BUCKET_BITS, width)).astype(np.float32)
@@ -186,15 +189,10 @@ def train(texts: list[str], toxic: np.ndarray, width: int = 8, warm: int = 30, r
         full = np.zeros(1 << BUCKET_BITS)
         full[used] = value
         means = sum(np.bincount(w, full[b], len(place)) for b, w in known) / number
-        run = np.concatenate([[0], np.cumsum(means[tokens])])
-        if step <= warm:
-            lo, hi, mean = first, last, (run[last] - run[first]) / (last - first)
-        else:
-            score = (run[end] - run[begin]) / (end - begin)
-            top = np.maximum.reduceat(score, heads)
-            best = np.flatnonzero(score == top[doc])
-            best = best[np.flatnonzero(np.diff(doc[best], prepend=-1))]
-            lo, hi, mean = begin[best], end[best], score[best]
+        top = slice(None) if step <= warm else most_toxic(doc, means[word], TOP)
+        of, which = doc[top], word[top]
+        bag = np.bincount(of, minlength=len(y))
+        mean = np.bincount(of, means[which], len(y)) / bag
         logit = GAIN * mean + softmax[1, -1] - softmax[0, -1]
         p = 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
         if step > warm:
@@ -202,11 +200,7 @@ def train(texts: list[str], toxic: np.ndarray, width: int = 8, warm: int = 30, r
             if loss < least:
                 least, kept = loss, Model(full, float(softmax[1, -1] - softmax[0, -1]))
         error = np.where(aside, 0.0, weight * (p - y))
-        share = GAIN * error / (hi - lo)
-        cover = np.zeros(len(tokens) + 1)
-        np.add.at(cover, lo, share)
-        np.add.at(cover, hi, -share)
-        by_word = np.bincount(tokens, np.cumsum(cover)[:-1], len(place)) / number
+        by_word = np.bincount(which, (GAIN * error / bag)[of], len(place)) / number
         by_bucket = sum(np.bincount(b, by_word[w], 1 << BUCKET_BITS) for b, w in known)[used]
         to_softmax = np.append(vectors[used].T @ by_bucket, error.sum())
         gradients = (by_bucket[:, None] * tilt + 1e-6 * vectors[used], np.stack([-to_softmax, to_softmax]))
@@ -274,7 +268,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most: i
     The model learns from ``labels(doc_id, toxic)`` of documents that are not held out, at most ``most`` of each class, and
     sees nothing but texts. A document with several labels counts as toxic if one says so; null labels are passed over.
     With no labels, or of one class only, every document scores the share of toxic labels. Null and empty texts have no
-    window and get the bias. Repeated rows and rows without doc_id are scored like others; columns of docs named like the
+    words and get the bias. Repeated rows and rows without doc_id are scored like others; columns of docs named like the
     three are replaced.
     """
     model = fit(docs, labels, ~held_out(), most)

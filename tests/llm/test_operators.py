@@ -328,6 +328,45 @@ def test_unseen_spellings_and_long_texts():
     assert (score[:2] > 0.7).all() and (score[2:] < 0.5).all()
 
 
+def test_whole_words_have_buckets_of_their_own_and_batches_do_not_matter():
+    letters = toxicity.word_letters()
+    texts = ["you idiot and stupid fool idiot", "hello", "", "a b c d", "idiot"]
+    codes = np.frombuffer(" ".join(texts).encode("utf-32-le"), "<u4")
+    found = toxicity.grams(codes, letters)
+    words = [bytes(codes[a - 1 : b - 1]).decode("utf-32-le") for a, b in zip(found.starts, found.ends)]
+    assert words == " ".join(texts).split()
+    assert len(set(found.bucket[-1])) == len(set(words)) == len(set(zip(words, found.bucket[-1])))
+    model = toxicity.Model(np.random.default_rng(0).normal(size=1 << toxicity.BUCKET_BITS), 0.5)
+    alone = [model.logits([t], letters)[0] for t in texts]
+    assert np.allclose(model.logits(texts, letters), alone) and alone[2] == 0.5
+
+
+def test_most_toxic_words_against_sorting():
+    rng = random.Random(3)
+    doc = np.sort([rng.randrange(40) for _ in range(300)])
+    score = np.array([rng.choice([-1.0, 0.0, 0.5, 2.0]) for _ in doc])
+    got = sorted(toxicity.most_toxic(doc, score, 3).tolist())
+    of = {d: [i for i in range(300) if doc[i] == d] for d in set(doc.tolist())}
+    assert got == sorted(i for rows in of.values() for i in sorted(rows, key=lambda i: (-score[i], i))[:3])
+    assert len(toxicity.most_toxic(doc[:0], score[:0], 3)) == 0
+
+
+def test_words_far_apart_count_together():
+    rng = random.Random(2)
+    filler = [a + b for a in ("riv", "sto", "wal", "qui", "gre", "abo") for b in ("er", "ne", "ks", "et", "en", "ut")]
+    bad = ["zarkon", "zarkels", "zarkimo", "zarkuta", "zarkysh", "zarkabe"]
+    texts, labels = [], []
+    for k in range(400):
+        words = [rng.choice(filler) for _ in range(80)]
+        for place in rng.sample(range(80), (0, 1, 3, 4)[k % 4]):
+            words[place] = rng.choice(bad)
+        texts.append(" ".join(words))
+        labels.append(len(set(words) & set(bad)) > 1)
+    model = toxicity.train(texts[:300], np.array(labels[:300]))
+    found = model.logits(texts[300:], toxicity.word_letters()) > 0
+    assert (found == np.array(labels[300:])).mean() > 0.9
+
+
 def test_toxicity_rows(spark, docs, texts):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     found = toxicity.toxicity(docs, labels).collect()
