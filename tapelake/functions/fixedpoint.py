@@ -24,11 +24,19 @@ def ticks(price: Column | str) -> Column:
 
 
 def notional_ticks(price: Column | str = "price", quantity: Column | str = "quantity") -> Column:
-    """price * quantity in ticks, as bigint.
+    """price * quantity in ticks, a whole number as double, which an extreme trade's notional cannot overflow.
 
     The product is rounded, not the price, so a tiny price times a large quantity keeps its digits.
     """
-    return ticks(_col(price) * _col(quantity))
+    return F.rint(_col(price) * _col(quantity) * F.lit(float(TICKS_PER_UNIT)))
+
+
+def notional_total(price: Column | str = "price", quantity: Column | str = "quantity") -> Column:
+    """Exact sum of notionals in ticks, as ``exact_sum`` gives it; a single notional may reach 9.6e18."""
+    x, unit = notional_ticks(price, quantity), float(1 << _LOW_BITS)
+    high = F.floor(x / F.lit(unit)).cast("bigint")
+    low = (x - high.cast("double") * F.lit(unit)).cast("bigint")
+    return _joined(F.sum(high), F.sum(low))
 
 
 def exact_sum(x: Column | str, over: WindowSpec | None = None) -> Column:
@@ -42,6 +50,10 @@ def exact_sum(x: Column | str, over: WindowSpec | None = None) -> Column:
     low = F.sum(x.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
     if over is not None:
         high, low = high.over(over), low.over(over)
+    return _joined(high, low)
+
+
+def _joined(high: Column, low: Column) -> Column:
     return high.cast("decimal(20,0)") * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low.cast("decimal(20,0)")
 
 
@@ -57,7 +69,7 @@ def money_sum(x: Column | str, over: WindowSpec | None = None) -> Column:
 
 def notional_sum(price: Column | str = "price", quantity: Column | str = "quantity") -> Column:
     """Traded value: the exact sum of price * quantity."""
-    return money_sum(notional_ticks(price, quantity))
+    return from_ticks(notional_total(price, quantity))
 
 
 def price_mean(price: Column | str = "price", over: WindowSpec | None = None) -> Column:
@@ -94,7 +106,7 @@ def within(x: Column, low: Column | str, high: Column | str) -> Column:
 
 def vwap(price: Column | str = "price", quantity: Column | str = "quantity") -> Column:
     """Volume-weighted price, NULL where nothing traded."""
-    return vwap_from(exact_sum(notional_ticks(price, quantity)), quantity_sum(quantity))
+    return vwap_from(notional_total(price, quantity), quantity_sum(quantity))
 
 
 def sample_stddev(x: Column | str, over: WindowSpec | None = None) -> Column:

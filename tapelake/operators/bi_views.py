@@ -30,7 +30,7 @@ def trades_enriched(trades: DataFrame) -> DataFrame:
 def daily_bars(trades: DataFrame) -> DataFrame:
     """The canonical ``daily_trade_summary``."""
     bars = trades.groupBy("symbol", F.to_date("timestamp").alias("trade_date")).agg(
-        *aggregates(ohlcv()), fp.exact_sum(fp.notional_ticks()).alias("value_ticks")
+        *aggregates(ohlcv()), fp.notional_total().alias("value_ticks")
     )
     change = (F.col("close_price") - F.col("open_price")) / F.nullif(F.col("open_price"), F.lit(0.0)) * F.lit(100.0)
     return bars.select(
@@ -86,7 +86,7 @@ def sector_daily_summary(enriched: DataFrame) -> DataFrame:
     """Per day and sector: symbols, volume, value, and the mean of the symbols' mean prices."""
     per_symbol = enriched.groupBy("trade_date", "sector", "symbol").agg(
         fp.quantity_sum().alias("volume"),
-        fp.exact_sum(fp.notional_ticks()).alias("value_ticks"),
+        fp.notional_total().alias("value_ticks"),
         F.rint(fp.price_mean() * F.lit(1e6)).cast("bigint").alias("mean_micros"),
     )
     return per_symbol.groupBy("trade_date", "sector").agg(

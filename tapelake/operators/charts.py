@@ -113,7 +113,7 @@ def exposure_matrix(enriched: DataFrame, symbols: list[str]) -> DataFrame:
 
 def concentration(trades: DataFrame, limit: float = CONCENTRATION_LIMIT) -> DataFrame:
     """Share of each sector in traded value, and whether it passes the limit."""
-    by_sector = trades.groupBy("sector").agg(fp.exact_sum(fp.notional_ticks()).alias("ticks"))
+    by_sector = trades.groupBy("sector").agg(fp.notional_total().alias("ticks"))
     total = by_sector.agg(F.sum("ticks").alias("total"))
     share = F.col("ticks").cast("double") / F.nullif(F.col("total").cast("double"), F.lit(0.0))
     return by_sector.crossJoin(total).select(

@@ -47,7 +47,7 @@ def daily_ohlcv(
     stamp = ts_literal(aggregated_at) if aggregated_at else F.current_timestamp()
     bars = trades.groupBy("symbol", F.to_date("timestamp").alias("trading_date")).agg(
         *aggregates(ohlcv(tie_break=tie_break)),
-        fp.exact_sum(fp.notional_ticks()).alias("value_ticks"),
+        fp.notional_total().alias("value_ticks"),
         F.max("company_name").alias("company_name"),
         F.max("sector").alias("sector"),
     )

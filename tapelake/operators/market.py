@@ -77,7 +77,7 @@ def daily_market_summary(enriched: DataFrame, day: date | str, limit: int = SUMM
     bars = (
         enriched.filter(on_days("traded_at", day, day))
         .groupBy("symbol")
-        .agg(*aggregates(ohlcv("traded_at")), fp.exact_sum(fp.notional_ticks()).alias("value_ticks"))
+        .agg(*aggregates(ohlcv("traded_at")), fp.notional_total().alias("value_ticks"))
     )
     change = F.col("close_price") - F.col("open_price")
     bars = bars.withColumns(
@@ -191,7 +191,7 @@ def trader_profile(enriched: DataFrame, account_id: str, first: date | str, last
     )
     # The trades are read once; everything else looks at one row per symbol, day and hour of the account.
     cells = mine.groupBy("symbol", "trade_date", "trade_hour").agg(
-        F.count(F.lit(1)).alias("n"), fp.exact_sum(fp.notional_ticks()).alias("value")
+        F.count(F.lit(1)).alias("n"), fp.notional_total().alias("value")
     )
     by_symbol = F.sum("value").over(Window.partitionBy("symbol"))
     by_hour = F.sum("n").over(Window.partitionBy("trade_hour"))

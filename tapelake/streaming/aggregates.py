@@ -63,7 +63,7 @@ def tumbling_rollup(trades: DataFrame, sizes: tuple[str, ...] = WINDOW_SIZES) ->
     base = trades.groupBy("symbol", F.window("event_time", SUBDAY_INTERVALS[sizes[0]])["start"].alias("at")).agg(
         F.count(F.lit(1)).alias("n"),
         fp.quantity_sum().alias("volume"),
-        fp.exact_sum(fp.notional_ticks()).alias("value"),
+        fp.notional_total().alias("value"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
     )

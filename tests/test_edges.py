@@ -41,6 +41,13 @@ def test_stddev_of_values_whose_squares_pass_38_digits(spark):
     assert small == math.sqrt(13)
 
 
+def test_one_extreme_notional_does_not_end_the_sum(spark):
+    rows = spark.createDataFrame([(1e5, 100_000_000), (0.1, 3), (2.5, -4)], "price double, quantity int")
+    found = rows.agg(fp.notional_total().alias("t"), fp.notional_sum().alias("v"), fp.vwap().alias("p")).first()
+    assert int(found.t) == 10**19 + 300_000 - 10_000_000
+    assert found.v == float(10**19 + 300_000 - 10_000_000) / 1e6 and math.isclose(found.p, 1e5, rel_tol=1e-6)
+
+
 def test_event_time_takes_any_number_of_fraction_digits(spark):
     texts = ["2024-01-01T00:00:00Z", "2024-01-01T00:00:00.1Z", "2024-01-01T00:00:00.123Z", "2024-01-01T00:00:00.123456Z", "12:00:00", "soon", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(event_time("t").alias("e")).collect()
