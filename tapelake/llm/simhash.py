@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from xxhash import xxh64_intdigest
@@ -280,7 +280,11 @@ def representatives(docs: DataFrame, radius: int = 2) -> DataFrame:
     Rows without a doc_id stay only where no row of their component has one; then the one with the least row hash stays.
     """
     row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    found = near_duplicates(docs, radius, {"row_hash": row})
+    return first_of_each(docs, row, near_duplicates(docs, radius, {"row_hash": row}))
+
+
+def first_of_each(docs: DataFrame, row: Column, found: DataFrame) -> DataFrame:
+    """Of each component of ``found(doc_id, row_hash, fp, component_id)`` the first row of docs, whose hashes ``row`` gives."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash")
     chosen = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("of")).agg(
         F.min(order).alias("o")

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tapelake.llm import components, decontaminate, licenses, mixing, neighbours, secrets, simhash, toxicity, urls, webtext, wordpiece
+from tapelake.llm import components, copies, decontaminate, licenses, mixing, neighbours, secrets, simhash, toxicity, urls, webtext, wordpiece
 from tests.conftest import SMALL
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -111,6 +111,39 @@ def test_representatives(spark, docs):
     assert simhash.representatives(empty(spark, DOC)).collect() == []
 
 
+def test_edited_copies_go(spark):
+    """Copies with a few words changed are many bits apart; edits of one text are near it but not each other."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(3000)}"
+    rows, base = [], 0
+    for group in range(12):
+        base = [word() for _ in range(200)]
+        rows.append(base)
+        for _ in range(150 if not group else 4):
+            copy = list(base)
+            for at in rng.sample(range(200), 3):
+                copy[at] = word()
+            rows.append(copy)
+        half = list(base)
+        half[::10] = [word() for _ in range(20)]
+        rows.append(half)
+    rng.shuffle(rows)
+    texts = [(k, " ".join(w)) for k, w in enumerate(rows)]
+    sets = [frozenset(zip(*(t.split()[i:] for i in range(5)))) for _, t in texts]
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if root[a] != root[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    texts += [(None, texts[3][1]), (texts[5][0], texts[5][1]), (900, None), (901, " "), (902, "three short words"), (903, "Three short  WORDS")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in copies.representatives(docs).collect())
+    assert kept == sorted({*root, 900, 902}) and len(kept) < 30
+    assert len(simhash.representatives(docs).collect()) > 100
+    assert copies.representatives(empty(spark, DOC)).collect() == []
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(500)] + [(7, 7), (None, 3)], "a long, b long")
     assert {r.root for r in components.components(edges).collect()} == {0}
