@@ -22,8 +22,9 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
-#: Runs that may be tokens, and the encodings they are tried as: name, what it may hold, its alphabet.
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}"
+#: Runs that may be tokens, with base64's padding; the encodings they are tried as: name, what it may hold, its alphabet.
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+PADDING = "=+$"
 ENCODINGS = (
     ("hex", "^[0-9a-f]+$", "0123456789abcdef"),
     ("HEX", "^[0-9A-F]+$", "0123456789ABCDEF"),
@@ -67,7 +68,9 @@ def tail(z: Column) -> Column:
 
 
 def tested(token: Column) -> Column:
-    """``struct(stratum, p)`` of a token: encoding and length class, and the combined p-value under randomness."""
+    """``struct(stratum, p)`` of a token: encoding and length class, and the combined p-value under randomness. Padding is
+    no part of it."""
+    token = F.regexp_replace(token, PADDING, "")
     encoding, alphabet = F.lit(ENCODINGS[-1][0]), F.lit(ENCODINGS[-1][2])
     for name, holds, letters in reversed(ENCODINGS[:-1]):
         encoding = F.when(token.rlike(holds), name).otherwise(encoding)
@@ -121,8 +124,8 @@ def tested(token: Column) -> Column:
 
 def thresholds(docs: DataFrame, limit: float) -> dict[str, int]:
     """For each stratum the first of BINS bins of p whose tokens, with those above, hold at most ``limit`` words."""
-    token = F.explode(F.regexp_extract_all(whole_text(), F.lit(TOKEN), F.lit(0))).alias("token")
-    tests = docs.select(token).select(tested(F.col("token")).alias("t")).select("t.stratum", F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
+    found = F.transform(F.regexp_extract_all(whole_text(), F.lit(TOKEN), F.lit(0)), lambda t: F.regexp_replace(t, PADDING, ""))
+    tests = docs.select(F.explode(found).alias("token")).select(tested(F.col("token")).alias("t")).select("t.stratum", F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
     found: dict[str, list[int]] = {}
     for stratum, bin_, n in tests.groupBy("stratum", "bin").count().collect():  # strata and bins are few at any size
         found.setdefault(stratum, [0] * BINS)[bin_] = n

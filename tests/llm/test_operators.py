@@ -318,6 +318,18 @@ def test_random_tokens_are_told_from_words_and_masked(spark):
     assert all(masked[k].text == rows[k][1] and masked[k].n_chars == rows[k][2] for k in set(range(600)) - hit)
 
 
+def test_random_tokens_after_signs_are_masked(spark):
+    rng = random.Random(4)
+    letters = secrets.ENCODINGS[-2][2]
+    forms = ["client_key={}", "sig:{}", "auth='{}'", 'x="{}"', "http://h.example/p?a=1&sig={}&b=2", "a_very_long_name_of_a_key={}", "k={}==", "k {}= x"]
+    rows = [(n, forms[n % len(forms)], "".join(rng.choice(letters) for _ in range(40))) for n in range(400)]
+    docs = spark.createDataFrame([(n, f.format(t)) for n, f, t in rows], "doc_id long, text string")
+    found = {r.doc_id: r.text for r in secrets.masked(docs).collect()}
+    masks = ["client_key=[SECRET]", "sig:[SECRET]", "auth='[SECRET]'", 'x="[SECRET]"', "http://h.example/p?a=1&sig=[SECRET]&b=2", "a_very_long_name_of_a_key=[SECRET]", "k=[SECRET]", "k [SECRET] x"]
+    for k, mask in enumerate(masks):
+        assert sum(found[n] == mask for n, f, _ in rows if f == forms[k]) >= 43, forms[k]
+
+
 def test_overlapping_spans_are_masked_once(spark):
     docs = spark.createDataFrame([("a token=" + "0a" * 15 + " b AKIA" + "X" * 16, 0), (None, 1)], "text string, spans int")
     assert [r.text for r in secrets.masked(docs).orderBy("spans").collect()] == ["a [SECRET] b [SECRET]", None]
