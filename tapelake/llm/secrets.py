@@ -123,9 +123,10 @@ def tested(token: Column) -> Column:
 
 
 def thresholds(docs: DataFrame, limit: float) -> dict[str, int]:
-    """For each stratum the first of BINS bins of p whose tokens, with those above, hold at most ``limit`` words."""
+    """For each stratum the first of BINS bins of p whose tokens, with those above, hold at most ``limit`` words. A token
+    counts once, however often it is copied."""
     found = F.transform(F.regexp_extract_all(whole_text(), F.lit(TOKEN), F.lit(0)), lambda t: F.regexp_replace(t, PADDING, ""))
-    tests = docs.select(F.explode(found).alias("token")).select(tested(F.col("token")).alias("t")).select("t.stratum", F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
+    tests = docs.select(F.explode(found).alias("token")).distinct().select(tested(F.col("token")).alias("t")).select("t.stratum", F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
     found: dict[str, list[int]] = {}
     for stratum, bin_, n in tests.groupBy("stratum", "bin").count().collect():  # strata and bins are few at any size
         found.setdefault(stratum, [0] * BINS)[bin_] = n
@@ -145,8 +146,8 @@ def scan(docs: DataFrame, limit: float = 0.05, into: str = "spans") -> DataFrame
 
     kind is 0 to 2 for the fixed patterns assign, access and hex, and 3 for tokens found random, unless these overlap a
     fixed one; positions are code points, the end excluded. ``limit`` bounds the estimated share of words among random
-    tokens, over all of docs. Null and empty texts have no spans; repeated rows are found alike and count alike; a column
-    of docs named like the new one is replaced.
+    different tokens, over all of docs. Null and empty texts have no spans; repeated rows are found alike and count once; a
+    column of docs named like the new one is replaced.
     """
     passed = [F.lit(x) for item in thresholds(docs, limit).items() for x in item]
     columns = [c for c in docs.columns if c != into]
