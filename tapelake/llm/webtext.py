@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import re
 import sys
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -33,13 +34,23 @@ BREAKS = frozenset(
 )
 #: Elements that never hold the article.
 DROPPED = RAW | frozenset("head nav header footer aside form button select option menu dialog fieldset audio video canvas object".split())
-#: Words that mark an element as boilerplate, where they are a whole word of its class or id.
+#: Names that mark an element as boilerplate, where they are a whole class or id, alone or with the words below around them.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar aside header masthead footer copyright cookie cookies consent gdpr notice notices popup "
-    "modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments "
-    "respond disqus reply replies pagination pager skip widget toolbar".split()
+    "modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments commentlist "
+    "commentform respond disqus reply replies pagination pager skip widget toolbar".split()
 )
+BEFORE = "site main page top bottom left right primary secondary global sub mobile div wp post".split()
+AFTER = (
+    "area bar block body bottom box button buttons container content form group icons inner item items link links list panel section "
+    "slot text title top unit wrap wrapper".split()
+)
+NAME = re.compile(r"(?:(?:{0})[-_]+)*(?:{1})(?:[-_]+(?:{1}|{2}|\d+(?:x\d+)?))*".format(*("|".join(sorted(w)) for w in (BEFORE, MARKS, AFTER))))
+#: Names of one comment; only these make comments of article and main.
+COMMENT = re.compile(r"(?:div-)?comments?(?:-body|-\d+)?")
+#: Elements that hold other articles than the page's own, such as teasers, if that one is outside.
+SIDE = frozenset("nav aside footer menu dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 #: An open p ends where one of these starts; an open li, dd and so on where one of its kind does.
 CLOSES_P = BREAKS - {"br", "body", "html", "head", "option", "legend", "summary", "td", "th", "tr", "tbody", "thead", "tfoot"}
@@ -50,7 +61,10 @@ SAME_KIND = {
 }
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-PARTS = re.compile(r"[a-z]+")
+ARTICLES = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|iframe|template|svg|math)\b.*?</\1\b"
+    r"|<(article|main)(?![^\s/>])([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>", re.S | re.I
+)
 
 
 @dataclass
@@ -59,6 +73,7 @@ class Element:
     sign: str = ""
     dropped: bool = False
     main: bool = False
+    side: bool = False  #: may hold articles that are not the page's own
     pieces: list[str] = field(default_factory=list)  #: what its subtree's hash is made of
     hash: int = 0
 
@@ -72,19 +87,28 @@ class Block:
 
 
 def element(tag: str, attributes: str) -> Element:
-    sign, dropped = "", tag in DROPPED
+    sign, dropped, side, comment = "", tag in DROPPED, tag in SIDE, False
     if attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
             value = "".join(values).lower()
             name = name.lower()
             if name in ("class", "id"):
                 sign += f" {name}={value}"
-                dropped = dropped or not MARKS.isdisjoint(PARTS.findall(value))
+                names = value.split()
+                dropped = dropped or any(map(NAME.fullmatch, names))
+                comment = comment or any(map(COMMENT.fullmatch, names))
             elif name == "role":
                 dropped = dropped or value in ROLES
             elif name == "hidden" and not value:
-                dropped = True
-    return Element(tag, sign, dropped and tag not in ("html", "body", "article", "main") or "comment" in sign, tag in ("article", "main"))
+                dropped = side = True
+    main = tag in ("article", "main")
+    dropped = comment if main else (dropped or comment) and tag not in ("html", "body")
+    return Element(tag, sign, dropped, main, side or comment)
+
+
+def own_articles(page: str) -> list[int]:
+    """Where the page's article and main elements open, those that are comments left out."""
+    return [m.start() for m in ARTICLES.finditer(page) if m[2] and not element(m[2].lower(), m[3]).dropped]
 
 
 @cache
@@ -107,6 +131,7 @@ def blocks(page: str) -> list[Block]:
     root = Element("")
     stack, out, pending = [root], [], []
     at = drops = 0
+    articles: list[int] | None = None
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(pending)).split()) if pending else ""
@@ -178,9 +203,16 @@ def blocks(page: str) -> list[Block]:
             flush()
         if tag not in VOID:
             new = element(tag, found[3])
-            if new.dropped and (past := end_of(page, tag, at)):
-                at = past
-                continue
+            if new.dropped:
+                past = end_of(page, tag, at)
+                if articles is None:
+                    articles = own_articles(page)
+                held = bisect(articles, (past or size) - 1) - bisect(articles, at - 1)
+                if held and not new.main and not (new.side and past and held < len(articles)):
+                    new.dropped = False  # the article is in it
+                elif past:
+                    at = past
+                    continue
             stack.append(new)
             drops += new.dropped
     flush()
@@ -254,7 +286,8 @@ def template_keys(found: DataFrame, least_pages: int, share: float) -> DataFrame
 def main_text(pages: DataFrame, least_pages: int = 20, share: float = 0.5, most_shared: int = 500_000) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for each row of ``pages(page_id, url, html)``.
 
-    Left out are elements named as boilerplate by tag, class, id or role; where a page has an article or main element,
+    Left out are elements named as boilerplate by tag, role, or a whole class or id, unless they hold an article or main
+    element that is no comment (nav, aside, footer, hidden and comment elements: the only ones of the page); where a page has an article or main element,
     everything outside these; and subtrees found on at least ``least_pages`` pages of their host with different texts, if
     that is at least ``share`` of such pages. Character references are decoded, white space in a block becomes one space,
     and blocks are joined in page order by one space. Null and empty pages give an empty text. Pages without a host, from

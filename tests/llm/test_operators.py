@@ -474,6 +474,22 @@ def test_site_templates_go(spark, most_shared):
     assert webtext.main_text(empty(spark, "page_id long, url string, html string"), most_shared=most_shared).collect() == []
 
 
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<body class='comments-open'><article>{}</article></body>", "<body><article class='post no-comments'>{}</article></body>", "<div class='commentary'><p>{}</p></div>",
+        "<div class='content has-sidebar'><p>{}</p></div>", "<div class='no-sidebar'><article>{}</article></div>", "<body class='sidebar'><p>{}</p></body>",
+        "<form id=f><div class=sidebar><main>{}</main></div></form>", "<div class=ad>x<article>{}</article>", "<nav>n<p><article>{}</article>",
+        "<div class='main-menu'>x</div><article>{}</article><aside><article>x</article></aside><div class=comments><article>x</article></div>",
+        "<main>{}<article class='comment even' id='div-comment-5'>x</article><div id=comment-7>x</div><div class='social-links'>x</div></main>",
+        "<article>{}</article><div class=ad><!-- <article> --><script>'<main>'</script>x</div>", "<aside><article>{}</article></aside>",
+    ],
+)
+def test_articles_stay_in_wrappers_named_like_boilerplate(around):
+    text = "".join(b.text + " " for b in webtext.main_blocks(around.format("The whole article"))).strip()
+    assert text == "The whole article"
+
+
 # --- urls
 
 
