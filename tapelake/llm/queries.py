@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapelake.llm import decontaminate, licenses, mixing, neighbours, secrets, simhash, toxicity, urls, webtext, wordpiece
+from tapelake.llm import (
+    decontaminate, descent, licenses, mixing, neighbours, runs, secrets, simhash, toxicity, urls, webtext, wordpiece,
+)
 from tapelake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,10 +60,18 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, folder, "documents"), runs.repeated, texts=False)
+
+
+def op12_vector_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return descent.near_copies(table(spark, folder, "embeddings"))
+
+
 def llm_queries() -> dict[str, Query]:
     found = (
         op1_simhash, op2_token_counts, op3_decontamination, op4_neighbours, op5_mixing, op6_secrets, op7_licenses, op8_toxicity,
-        op9_main_text, op10_url_filter,
+        op9_main_text, op10_url_filter, op11_periodic_runs, op12_vector_copies,
     )
     return {query.__name__: query for query in found}
 
