@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapelake.llm import (
-    decontaminate, descent, licenses, mixing, neighbours, runs, secrets, simhash, toxicity, urls, webtext, wordpiece,
+    decontaminate, descent, licenses, mixing, neighbours, runs, secrets, simhash, toxicity, trie, urls, webtext,
+    wordpiece,
 )
 from tapelake.llm.common import table
 
@@ -68,14 +69,19 @@ def op12_vector_copies(spark: SparkSession, folder: str) -> DataFrame:
     return descent.near_copies(table(spark, folder, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.opened_trie(table(spark, folder, "conversations"))
+
+
 def llm_queries() -> dict[str, Query]:
     found = (
         op1_simhash, op2_token_counts, op3_decontamination, op4_neighbours, op5_mixing, op6_secrets, op7_licenses, op8_toxicity,
         op9_main_text, op10_url_filter, op11_periodic_runs, op12_vector_copies,
+        op13_prefix_trie,
     )
     return {query.__name__: query for query in found}
 
 
 def llm_sql() -> dict[str, str]:
     """SQL where it can express the operator."""
-    return {"op5_mixing": mixing.SQL}
+    return {"op5_mixing": mixing.SQL, "op13_prefix_trie": trie.SQL}
