@@ -92,61 +92,79 @@ def _prefixes(steps: DataFrame) -> DataFrame:
     )
 
 
-def _exits(waiting: DataFrame, nodes: DataFrame, paths: DataFrame, longest: int) -> DataFrame:
-    """``s, length, depth, x, y, rep, far``: the node whose edge each waiting sequence leaves, and the depth at which it does.
+def _exits(waiting: DataFrame, nodes: DataFrame, paths: DataFrame, own: DataFrame, longest: int) -> DataFrame:
+    """For each waiting sequence the node whose edge it leaves, the depth at which it does, its prefixes there and a turn on.
 
-    The node found last by fat binary search, or its child by the sequence's next turn.
+    The node is the last that fat binary search finds, or that node's child by the sequence's next turn. Prefixes meet the
+    trie's handles, and the first prefixes of its edges, in one join; a sequence then probes what it met.
     """
-    at = lambda depth, *names: [F.col("s"), depth, *(F.col(c).alias(n) for c, n in zip("xy", names))]
-    own = paths.join(waiting.select("s"), "s", "left_semi").filter("depth > 0")
-    steps = nodes.filter("depth > 0").join(paths.select(F.col("s").alias("rep"), F.col("depth").alias("at"), F.col("x").alias("hx"), F.col("y").alias("hy")), "rep")
-    handles = steps.filter(F.col("at") == two_fattest(F.col("up"), F.col("depth")))
-    handles = handles.select(F.col("at").alias("f"), "hx", "hy", F.struct("depth", "x", "y", "rep").alias("hit"))
-    hits = own.select("s", F.col("depth").alias("f"), F.col("x").alias("hx"), F.col("y").alias("hy")).join(handles, ["f", "hx", "hy"])
-    hits = settle(hits.select("s", "f", "hit"), "hits")
-    root = F.struct(*(F.lit(0).cast("long").alias(c) for c in NAME), F.lit(None).cast("long").alias("rep"))
-    state = waiting.select("s", "length", F.lit(0).cast("long").alias("low"), F.col("length").alias("high"), root.alias("node"))
-    for _ in range(longest.bit_length()):
-        open_, f = F.col("low") < F.col("high"), two_fattest(F.col("low"), F.col("high"))
-        state = state.withColumn("f", F.when(open_, f)).join(hits, ["s", "f"], "left")
-        missed = F.col("hit").isNull()
-        state = state.select(
-            "s", "length",
-            F.when(missed, F.col("low")).otherwise(F.least("hit.depth", "high")).alias("low"),
-            F.when(missed & F.col("f").isNotNull(), F.col("f") - 1).otherwise(F.col("high")).alias("high"),
-            F.coalesce("hit", "node").alias("node"),
-        )
-    nexts = own.select(*at((F.col("depth") - 1).alias("below"), "cx", "cy"))
-    doors = steps.filter(F.col("at") == F.col("up") + 1)
-    doors = doors.select(F.col("up").alias("below"), F.col("hx").alias("cx"), F.col("hy").alias("cy"), F.struct("depth", "x", "y", "rep").alias("child"))
-    state = state.withColumn("below", F.col("node.depth")).join(nexts, ["s", "below"], "left").join(doors, ["below", "cx", "cy"], "left")
-    found = settle(state.select("s", "length", F.coalesce("child", "node").alias("node")).select("s", "length", "node.*"), "exits")
-    # How far a sequence follows the edge: the deepest prefix it has in common with one that passes the node.
-    mine = found.filter("rep is not null").select("s", "rep", F.col("depth").alias("end")).join(own, "s").filter("depth <= end")
-    edge = paths.select(F.col("s").alias("rep"), *NAME)
-    same = mine.join(edge, ["rep", *NAME]).groupBy("s").agg(F.max("depth").alias("far"))
-    return found.join(same, "s", "left").withColumn("far", F.coalesce("far", F.lit(0)))
-
-
-def _inserted(nodes: DataFrame, exits: DataFrame, paths: DataFrame) -> tuple[DataFrame, DataFrame]:
+    way = paths.select(F.col("s").alias("rep"), F.col("depth").alias("f"), F.col("x").alias("hx"), F.col("y").alias("hy"))
+    steps = nodes.filter("depth > 0").join(way, "rep")
+    handle, door = F.col("f") == two_fattest(F.col("up"), F.col("depth")), F.col("f") == F.col("up") + 1
+    keys = steps.filter(handle | door).select(
+        "f", "hx", "hy", F.struct("depth", "x", "y", "rep").alias("node"), handle.alias("handle"), door.alias("door")
+    )
+    met = own.select("s", F.col("depth").alias("f"), F.col("x").alias("hx"), F.col("y").alias("hy")).join(keys, ["f", "hx", "hy"])
+    entry = F.struct("f", "node")
+    met = met.groupBy("s").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("handle"), entry))).alias("handles"),
+        F.map_from_entries(F.collect_list(F.when(F.col("door"), entry))).alias("doors"),
+    )
+
+    def probe(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        f = two_fattest(low, high)
+        node = F.try_element_at("handles", f)
+        hit = node.isNotNull()
+        halved = F.struct(
+            F.when(hit, F.least(node["depth"], high)).otherwise(low).alias("low"),
+            F.when(hit, high).otherwise(f - 1).alias("high"),
+            F.coalesce(node, state["node"]).alias("node"),
+        )
+        return F.when(low < high, halved).otherwise(state)
+
+    nothing = F.lit(None).cast("long")
+    root = F.struct(*(F.lit(0).cast("long").alias(c) for c in NAME), nothing.alias("rep"))
+    start = F.struct(F.lit(0).cast("long").alias("low"), F.col("length").alias("high"), root.alias("node"))
+    rounds = F.sequence(F.lit(1), F.lit(longest.bit_length()))
+    last = F.aggregate(rounds, start, probe)["node"]
+    state = waiting.join(met, "s", "left").withColumn("last", last)
+    state = state.withColumn("exit", F.coalesce(F.try_element_at("doors", F.col("last.depth") + 1), F.col("last")))
+    names = ["s", "length", "lx", "ly", "e_depth", "e_x", "e_y"]
+    exits = [F.col(f"exit.{c}").alias(f"e_{c}") for c in NAME]
+    found = state.select("s", "length", "lx", "ly", *exits, F.col("exit.rep").alias("rep")).join(own, "s")
+    # A sequence follows the edge as far as its prefixes are those of the one that passes the node.
+    edge = paths.select(F.col("s").alias("rep"), *NAME, F.lit(True).alias("same"))
+    found = found.join(edge, ["rep", *NAME], "left")
+    same, here = F.col("same") & (F.col("depth") <= F.col("e_depth")), F.struct("x", "y")
+    same = F.coalesce(same, F.lit(False))
+    left = found.groupBy(*names).agg(
+        F.max(F.when(same, F.struct(*NAME))).alias("until"), F.min(F.when(~same, F.struct(*NAME))).alias("after")
+    )
+    zero = F.lit(0).cast("long")
+    places = [F.coalesce(f"until.{c}", zero).alias(n) for c, n in zip(NAME, ("far", "fx", "fy"))]
+    return left.select(*names, *places, F.col("after.x").alias("nx"), F.col("after.y").alias("ny"))
+
+
+def _inserted(nodes: DataFrame, left: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes with a batch's splits and leaves, and the sequences that still wait."""
-    here = paths.select("s", F.col("depth").alias("far"), F.col("x").alias("fx"), F.col("y").alias("fy"))
-    after = paths.select("s", (F.col("depth") - 1).alias("far"), F.col("x").alias("nx"), F.col("y").alias("ny"))
-    left = settle(exits.join(here, ["s", "far"]).join(after, ["s", "far"], "left"), "left")
-    first = F.min_by("s", F.struct(F.xxhash64("s"), "s"))
-    cuts = left.filter("far > 0 and far < depth").groupBy(*NAME, "far", "fx", "fy").agg(first.alias("cut_rep"))
-    chain = nodes.select(*[F.col(c).alias(f"e_{c}") for c in NAME], *NAME, "up", "rep").unionByName(
-        cuts.select(*[F.col(c).alias(f"e_{c}") for c in NAME], F.col("far").alias("depth"), F.col("fx").alias("x"), F.col("fy").alias("y"),
-                    F.lit(None).cast("long").alias("up"), F.col("cut_rep").alias("rep"))
-    )
-    edge = Window.partitionBy("e_depth", "e_x", "e_y")
+    by_hash = F.struct(F.xxhash64("s"), "s")
+    exits = [F.col(f"e_{c}") for c in NAME]
+    cuts = left.filter("far > 0 and far < e_depth").groupBy(*exits, "far", "fx", "fy").agg(F.min_by("s", by_hash).alias("rep"))
+    cuts = cuts.select(
+        *exits, F.col("far").alias("depth"), F.col("fx").alias("x"), F.col("fy").alias("y"), F.lit(None).cast("long").alias("up"), "rep"
+    )
+    chain = nodes.select(*[F.col(c).alias(f"e_{c}") for c in NAME], *NAME, "up", "rep").unionByName(cuts)
+    edge = Window.partitionBy(*exits)
     up = F.coalesce(F.lag("depth").over(edge.orderBy("depth")), F.max("up").over(edge))
     parted = chain.select(*NAME, up.alias("up"), "rep")
     gone = left.filter("far < length")
-    picked = settle(gone.groupBy("far", "fx", "fy", "nx", "ny").agg(first.alias("s")).select("s"), "picked")
-    leaves = gone.join(picked, "s").select("s", "far", F.col("length").alias("depth"))
-    leaves = leaves.join(paths.select("s", *NAME), ["s", "depth"]).select(*NAME, F.col("far").alias("up"), F.col("s").alias("rep"))
-    waiting = gone.join(picked, "s", "left_anti").select("s", "length")
+    first = gone.groupBy("far", "fx", "fy", "nx", "ny").agg(F.min_by(F.struct("s", "length", "lx", "ly"), by_hash).alias("first"))
+    leaves = first.select(
+        F.col("first.length").alias("depth"), F.col("first.lx").alias("x"), F.col("first.ly").alias("y"), F.col("far").alias("up"),
+        F.col("first.s").alias("rep"),
+    )
+    waiting = gone.join(first.select("first.s"), "s", "left_anti").select("s", "length", "lx", "ly")
     return settle(parted.unionByName(leaves), "nodes"), settle(waiting, "waiting")
 
 
@@ -155,12 +173,14 @@ def compacted(paths: DataFrame, strings: DataFrame) -> DataFrame:
     through it; no sequence stands for more than two nodes."""
     root = strings.agg(F.min("s").alias("rep")).filter("rep is not null")
     nodes = root.select(*(F.lit(0).cast("long").alias(c) for c in NAME), F.lit(-1).cast("long").alias("up"), "rep")
-    waiting = strings.filter("length > 0").select("s", "length")
+    waiting = strings.filter("length > 0").select("s", "length", "lx", "ly")
     while True:
         count, longest = waiting.agg(F.count("*"), F.max("length")).first()
         if not count:
             return nodes
-        nodes, waiting = _inserted(nodes, _exits(waiting, nodes, paths, longest), paths)
+        own = settle(paths.filter("depth > 0").join(waiting.select("s"), "s", "left_semi").select("s", *NAME), "own")
+        left = settle(_exits(waiting, nodes, paths, own, longest), "left")
+        nodes, waiting = _inserted(nodes, left)
 
 
 def _ends_digest(ends: DataFrame) -> DataFrame:
@@ -206,7 +226,7 @@ def prefix_trie(steps: DataFrame, convs: DataFrame | None = None) -> DataFrame:
         ends = ends.unionByName(convs.join(ends, "conv_id", "left_anti").select("conv_id", *zero))
     ends = settle(ends, "conversations")
     strings = settle(ends.groupBy(*NAME).agg(F.min("conv_id").alias("s"), F.count("*").alias("n")), "sequences")
-    strings = strings.select("s", "n", F.col("depth").alias("length"))
+    strings = strings.select("s", "n", F.col("depth").alias("length"), F.col("x").alias("lx"), F.col("y").alias("ly"))
     paths = marks.withColumnRenamed("conv_id", "s").join(strings.select("s", "n"), "s")
     no_words = [F.lit(0).cast("long").alias(c) for c in ("words", "upto")]
     columns = ["s", "n", *NAME, "words", "upto"]
