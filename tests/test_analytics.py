@@ -126,6 +126,42 @@ def test_accounts_trading_together_against_brute_force(make_trades, tolerance):
     assert got == expected
 
 
+@pytest.mark.parametrize("cells,fold,meet", [(1, 2, 3), (2, 3, 5), (4, 64, 2)])
+def test_accounts_trading_together_whatever_the_cells(make_trades, cells, fold, meet):
+    """Counts and nearest pairs do not depend on how cells, folds and parts are cut."""
+    items = random_trades(400, hot=0.8) + [("HOT", 100, 1, 5, k % 2 == 0) for k in range(40)]
+    enriched = trades_enriched(make_trades(items))
+    got = surveillance.accounts_trading_together(enriched, 60, None, cells, fold, meet)
+    got = {(r.symbol, r.buyer, r.seller): (r.paired_trades, r.closest_us) for r in got.collect()}
+    expected = {}
+    for i, a in enumerate(items):
+        for j, b in enumerate(items):
+            if a[0] == b[0] and a[4] and not b[4] and abs(a[1] - b[1]) <= 60:
+                key, far = (a[0], f"B{i % 5}", f"S{j % 3}"), abs(a[1] - b[1]) * 1_000_000
+                n, least = expected.get(key, (0, far))
+                expected[key] = n + 1, min(least, far)
+    assert got == expected
+
+
+def test_a_crowded_cell_is_dealt_evenly(spark):
+    """A symbol with a million trades a minute: no group of the join is far larger than the others."""
+    from pyspark.sql import functions as F
+
+    trades = spark.range(1_000_000).select(
+        F.lit("HOT").alias("symbol"), F.when(F.col("id") % 2 == 0, "BUY").otherwise("SELL").alias("side"), F.col("id").alias("trade_id"),
+        F.when(F.col("id") % 5 == 0, "WHALE").otherwise(F.concat(F.lit("A"), F.xxhash64("id") % 3000)).alias("account"),
+        F.lit(0).alias("quantity"), (F.col("id") * 60).alias("us"),
+    )
+    folds = surveillance.account_folds(trades, 30_000_000, ["symbol", "side", "account", "quantity"])
+    assert folds.agg(F.sum("n")).first()[0] == 1_000_000
+    # An account whose trades are a fifth of all is cut into rows of a few times the bound at most.
+    assert folds.agg(F.max("n")).first()[0] <= 2 * surveillance.FOLD
+    buys, sells = (folds.filter(F.col("side") == s).withColumn("at", F.col("cell")) for s in ("BUY", "SELL"))
+    for side in surveillance.dealt_to_meet(buys, sells, ["symbol", "at"]):
+        sizes = [r["count"] for r in side.groupBy("symbol", "at", "x", "y").count().collect()]
+        assert len(sizes) > 100 and max(sizes) <= 5 * sorted(sizes)[len(sizes) // 2]
+
+
 def ema(values, period):
     if len(values) < period:
         return []
