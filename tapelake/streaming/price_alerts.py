@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -19,57 +20,59 @@ _OUTPUT = (
 )
 _COLUMNS = ["symbol", "severity", "direction", "price", "baseline_price", "change", "us"]
 _NEVER = -1
+#: Trades wait, and are released, by slots of so many seconds; alerts are late by one slot at most.
+SLOT_SECONDS = 60
 
 
 class AlertProcessor(StatefulProcessor):
-    """Holds trades back until the watermark passes them, then feeds them to the detector in event-time order."""
+    """Holds trades back until the watermark passes them, then feeds them to the detector in event-time order.
 
-    def __init__(self, rules: AlertRules):
-        self.rules = rules
+    Trades wait in a map of time slots, in the pieces in which they arrived: an arrival adds a piece and reads none, and
+    each slot has a timer at its end, which reads and removes that slot alone. So a timer costs what is due, however much
+    is held back. Timers that expire together come in the order of their slots.
+    """
+
+    def __init__(self, rules: AlertRules, slot_seconds: int = SLOT_SECONDS):
+        self.rules, self.slot_ms = rules, slot_seconds * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.memory = handle.getValueState("memory", "price double, since_us bigint, alerted_us bigint")
-        self.waiting = handle.getListState("waiting", "us bigint, trade_id string, price double")
+        self.pieces = handle.getMapState("pieces", "slot bigint", "pieces bigint")
+        self.waiting = handle.getMapState(
+            "waiting", "slot bigint, piece bigint", "us array<bigint>, trade_id array<string>, price array<double>"
+        )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        oldest = None
         for batch in rows:
-            arrived = [
-                (int(us), trade_id, float(price))
-                for us, trade_id, price in zip(batch["us"], batch["trade_id"], batch["price"])
-            ]
-            if arrived:
-                self.waiting.appendList(arrived)
-                first = min(us for us, _, _ in arrived)
-                oldest = first if oldest is None else min(oldest, first)
-        if oldest is not None:
-            # When the watermark reaches the oldest arrival, whatever is due is released in order.
-            self.handle.registerTimer(oldest // 1000 + 1)
+            for slot, part in batch.groupby(batch["us"] // (self.slot_ms * 1000)):
+                slot, piece = int(slot), 0
+                if self.pieces.containsKey((slot,)):
+                    piece = self.pieces.getValue((slot,))[0]
+                else:
+                    self.handle.registerTimer((slot + 1) * self.slot_ms)
+                self.pieces.updateValue((slot,), (piece + 1,))
+                self.waiting.updateValue((slot, piece), tuple(part[c].tolist() for c in ("us", "trade_id", "price")))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        limit = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted((int(us), trade_id, float(price)) for us, trade_id, price in self.waiting.get())
-        due = [row for row in held if row[0] <= limit]
-        kept = [row for row in held if row[0] > limit]
-        if kept:
-            self.waiting.put(kept)
-            self.handle.registerTimer(kept[0][0] // 1000 + 1)
-        else:
-            self.waiting.clear()
+        slot = expiredTimerInfo.getExpiryTimeInMs() // self.slot_ms - 1
+        due = []
+        for piece in range(self.pieces.getValue((slot,))[0]):
+            due.extend(zip(*self.waiting.getValue((slot, piece))))
+            self.waiting.removeKey((slot, piece))
+        self.pieces.removeKey((slot,))
+        due.sort(key=lambda row: row[:2])
         state = Baseline()
         if self.memory.exists():
             price, since_us, alerted_us = self.memory.get()
             state = Baseline(price, since_us, None if alerted_us == _NEVER else alerted_us)
-        out = []
-        for us, _, price in due:
-            alert = state.observe(price, us, self.rules)
-            if alert is not None:
-                severity, base, change = alert
-                out.append((key[0], severity, "UP" if price > base else "DOWN", price, base, change, us))
-        if due:
-            self.memory.update((state.price, state.since_us, _NEVER if state.alerted_us is None else state.alerted_us))
+        us, price = np.array([row[0] for row in due], np.int64), np.array([row[2] for row in due], np.float64)
+        out = [
+            (key[0], severity, "UP" if price[i] > base else "DOWN", price[i], base, change, us[i])
+            for i, severity, base, change in state.replay(price, us, self.rules)
+        ]
+        self.memory.update((state.price, state.since_us, _NEVER if state.alerted_us is None else state.alerted_us))
         if out:
             yield pd.DataFrame(out, columns=_COLUMNS)
 

@@ -10,7 +10,7 @@ from tapelake.operators.ingest import from_flat_json
 from tapelake.schemas import TRADE_EVENT
 from tapelake.sources import kafka
 from tapelake.streaming import aggregates, feeds, pipelines
-from tapelake.streaming.price_alerts import price_alert_stream
+from tapelake.streaming.price_alerts import AlertProcessor, price_alert_stream
 
 START = datetime(2024, 1, 2, 10)
 
@@ -161,6 +161,86 @@ def test_stream_alerts_equal_batch_over_many_batches(spark, make_trades, tmp_pat
     assert expected and tuples(got) == expected
 
 
+class State(dict):
+    """Map state and value state that count what is read and written."""
+
+    def __init__(self):
+        self.touched = 0
+
+    def touch(self):
+        self.touched += 1
+
+    def containsKey(self, key):
+        self.touch()
+        return key in self
+
+    def getValue(self, key):
+        self.touch()
+        return self[key]
+
+    def updateValue(self, key, value):
+        self.touch()
+        self[key] = value
+
+    def removeKey(self, key):
+        self.touch()
+        del self[key]
+
+    def exists(self):
+        return None in self
+
+    def get(self):
+        return self[None]
+
+    def update(self, value):
+        self[None] = value
+
+
+class Handle:
+    def __init__(self):
+        self.timers, self.states = [], {}
+
+    def getMapState(self, name, *schemas):
+        return self.states.setdefault(name, State())
+
+    def getValueState(self, name, schema):
+        return self.states.setdefault(name, State())
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def touched(self):
+        return sum(s.touched for s in self.states.values())
+
+
+def test_a_timer_reads_only_its_slot():
+    """A day of backlog, arriving in pieces and out of order: every timer costs the same, and alerts are the replay's."""
+    import pandas as pd
+
+    rng = random.Random(4)
+    trades = [(60_000_000 * (k // 5) + 7_000_000 * (k % 5), f"T{k:06d}", round(100 * rng.uniform(0.9, 1.1), 4)) for k in range(7200)]
+    handle, processor = Handle(), AlertProcessor(AlertRules())
+    processor.init(handle)
+    for part in range(6):
+        batch = pd.DataFrame(trades[part::6], columns=["us", "trade_id", "price"]).sample(frac=1, random_state=part)
+        processor.handleInputRows(("S",), iter([batch]), None)
+    assert len(handle.timers) == len(set(handle.timers)) == 1440
+    costs, got = [], []
+    for at in sorted(handle.timers):
+        before = handle.touched()
+        info = type("Info", (), {"getExpiryTimeInMs": lambda self, at=at: at})()
+        for found in processor.handleExpiredTimer(("S",), None, info):
+            got += found[["price", "baseline_price", "us"]].values.tolist()
+        costs.append(handle.touched() - before)
+    assert max(costs) <= 2 * 5 + 2 and not handle.states["waiting"] and not handle.states["pieces"]
+    state, expected = Baseline(), []
+    for us, _, price in trades:
+        found = state.observe(price, us, AlertRules())
+        if found:
+            expected.append([price, found[1], us])
+    assert expected and got == expected
+
+
 def test_stream_windows_equal_batch(spark, make_trades, tmp_path):
     trades = make_trades(walk(200))
     topic = str(tmp_path / "topic")
