@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapelake.functions import fixedpoint as fp
+from tapelake.session import scratch_folder
 
 
 @dataclass(frozen=True)
@@ -100,9 +101,8 @@ class Baseline:
 # Trades a baseline has to hold for before the next change is searched for in blocks.
 _PATIENCE = 32
 
-_FOLD_SCHEMA = (
-    "symbol string, severity string, direction string, price double, baseline_price double, change double, us bigint"
-)
+# Baseline lives in a block, and those before it that are replayed to guess its state.
+LIVES, WARM = 24, 3
 
 
 def with_segments(trades: DataFrame, gap_seconds: float) -> DataFrame:
@@ -124,41 +124,137 @@ def with_segments(trades: DataFrame, gap_seconds: float) -> DataFrame:
     return rows.join(hours, ["symbol", "_hour"]).drop("_hour")
 
 
-def price_alerts(trades: DataFrame, rules: AlertRules = AlertRules()) -> DataFrame:
-    """Replay trades in event-time order and return the alerts.
+def _blocks(rows: DataFrame, rules: AlertRules, lives: int, warm: int) -> DataFrame:
+    """Cut stretches into blocks of time; a block also gets the trades just before it, to guess the state it starts in."""
+    life = int(rules.quiet_seconds * 1e6)
+    length = lives * life
+    block = F.expr(f"(us - pmod(us, {length})) div {length}")
+    late = F.pmod("us", F.lit(length)) >= length - warm * life
+    both = F.array(F.struct(block.alias("block"), F.lit(False).alias("warm")), F.struct((block + 1).alias("block"), F.lit(True).alias("warm")))
+    own = F.array(both[0])
+    cut = rows.withColumn("at", F.explode(F.when(late, both).otherwise(own)))
+    return cut.select("symbol", "segment", "at.block", "at.warm", "price", "us", "trade_id")
+
+
+def _settled(state: Baseline, at_us: int, rules: AlertRules) -> tuple[float | None, int | None, int | None]:
+    """What of a state can still matter to a trade at ``at_us`` or later."""
+    price, since = state.price, state.since_us
+    if price is None or at_us - since > rules.baseline_seconds * 1e6:
+        price, since = None, None
+    alerted = state.alerted_us
+    if alerted is not None and at_us - alerted >= rules.cooldown_seconds * 1e6:
+        alerted = None
+    return price, since, alerted
+
+
+_STATE = [f"{end}_{c}" for end in ("entry", "exit") for c in ("price", "since", "alerted")]
+_KEY = ["symbol", "segment", "block"]
+_ALERT = ["severity", "direction", "price", "baseline_price", "change"]
+_REPLAY_SCHEMA = (
+    "symbol string, segment bigint, block bigint, us bigint, severity string, direction string, price double, "
+    "baseline_price double, change double, entry_price double, entry_since bigint, entry_alerted bigint, "
+    "exit_price double, exit_since bigint, exit_alerted bigint"
+)
+
+
+def _replayed(rows: DataFrame, rules: AlertRules) -> DataFrame:
+    """Alerts of each block, and one row without a severity that says in which state it started and ended.
 
-    The detector's memory makes a symbol sequential only inside a stretch of trading: after a long enough silence the
-    next trade resets it whatever came before. Stretches are therefore separate units of work, each read as a sorted
-    stream of Arrow batches with three numbers of state.
+    Rows carry the state a block starts in, or none: then its warm rows, or nothing, come first.
     """
-    rows = trades.select("symbol", "trade_id", "price", F.unix_micros("timestamp").alias("us"))
-    columns = ["symbol", "severity", "direction", "price", "baseline_price", "change", "us"]
+
+    def frame(found: list[tuple]) -> pd.DataFrame:
+        names = [*_KEY, "us", *_ALERT, *_STATE]
+        whole = ["segment", "block", "us", *[c for c in _STATE if not c.endswith("price")]]
+        return pd.DataFrame(found, columns=names, dtype=object).astype(dict.fromkeys(whole, "Int64"))
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, state = None, Baseline()
+        key, state, entry, first = None, Baseline(), None, None
+
+        def ended() -> list[tuple]:
+            if first is None:
+                return []  # a block with warm rows only
+            return [(*key, first, *(None,) * 5, *entry, state.price, state.since_us, state.alerted_us)]
+
         for batch in batches:
-            symbol, segment = batch["symbol"].to_numpy(), batch["segment"].to_numpy()
-            price, us = batch["price"].to_numpy(), batch["us"].to_numpy()
-            changes = np.flatnonzero((symbol[1:] != symbol[:-1]) | (segment[1:] != segment[:-1])) + 1
+            keys = [batch[c].to_numpy() for c in _KEY]
+            warm, price, us = (batch[c].to_numpy() for c in ("warm", "price", "us"))
+            parts = [*keys, warm]
+            new = np.any([c[1:] != c[:-1] for c in parts], axis=0)
+            cuts = [0, *(np.flatnonzero(new) + 1), len(batch)]
             out = []
-            for start, stop in zip([0, *changes], [*changes, len(price)]):
+            for start, stop in zip(cuts, cuts[1:]):
                 if start == stop:
                     continue
-                key = (symbol[start], segment[start])
-                if key != current:
-                    current, state = key, Baseline()
+                now = tuple(c[start] for c in keys)
+                if now != key:
+                    out += ended() if key is not None else []
+                    key, state, entry, first = now, Baseline(), None, None
+                    given = batch.iloc[start][["entry_price", "entry_since", "entry_alerted"]]
+                    if not given.isna().all():
+                        base, since, alerted = (None if pd.isna(x) else x for x in given)
+                        state = Baseline(base, 0 if since is None else int(since), None if alerted is None else int(alerted))
+                if first is None and not warm[start]:
+                    first, entry = us[start], _settled(state, us[start], rules)
                 for i, severity, base, change in state.replay(price[start:stop], us[start:stop], rules):
-                    p = price[start + i]
-                    out.append((key[0], severity, "UP" if p > base else "DOWN", p, base, change, us[start + i]))
-            yield pd.DataFrame(out, columns=columns)
-
-    ordered = (
-        with_segments(rows, rules.quiet_seconds)
-        .repartition("symbol", "segment")
-        .sortWithinPartitions("symbol", "segment", "us", "trade_id")
-        .select("symbol", "segment", "price", "us")
+                    if not warm[start]:
+                        p = price[start + i]
+                        out.append((*key, us[start + i], severity, "UP" if p > base else "DOWN", p, base, change, *(None,) * 6))
+            yield frame(out)
+        if key is not None:
+            yield frame(ended())
+
+    ordered = rows.repartition(*_KEY).sortWithinPartitions(*_KEY, F.desc("warm"), "us", "trade_id").drop("trade_id")
+    return ordered.mapInPandas(fold, _REPLAY_SCHEMA)
+
+
+def _misjudged(found: DataFrame, rules: AlertRules) -> DataFrame:
+    """Blocks that did not start as the block before them ended, with the state they start in."""
+    along = Window.partitionBy("symbol", "segment").orderBy("block")
+    states = found.filter("severity is null").withColumn("earlier", F.lag(F.struct("exit_price", "exit_since", "exit_alerted")).over(along))
+    old = F.col("us") - F.col("earlier.exit_since") > F.lit(rules.baseline_seconds * 1e6)
+    cool = F.col("us") - F.col("earlier.exit_alerted") >= F.lit(rules.cooldown_seconds * 1e6)
+    true = states.select(
+        *_KEY,
+        *[F.col(c).alias(f"was_{c}") for c in _STATE[:3]],
+        F.when(~old, F.col("earlier.exit_price")).alias("entry_price"),
+        F.when(~old & F.col("earlier.exit_price").isNotNull(), F.col("earlier.exit_since")).alias("entry_since"),
+        F.when(~cool, F.col("earlier.exit_alerted")).alias("entry_alerted"),
+        F.col("earlier").isNotNull().alias("follows"),
     )
-    return ordered.mapInPandas(fold, _FOLD_SCHEMA).select(
+    same = F.lit(True)
+    for c in _STATE[:3]:
+        same = same & F.col(c).eqNullSafe(F.col(f"was_{c}"))
+    return true.filter(F.col("follows") & ~same).select(*_KEY, *_STATE[:3])
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def price_alerts(trades: DataFrame, rules: AlertRules = AlertRules(), lives: int = LIVES, warm: int = WARM) -> DataFrame:
+    """Replay trades in event-time order and return the alerts.
+
+    The detector's memory makes a symbol sequential inside a stretch of trading. Stretches are cut into blocks of ``lives``
+    baseline lives that are replayed side by side, each from the state that a replay of the ``warm`` lives before it ends
+    in. That guess is mostly right, since replays from different states meet at their first common alert or reset. Then
+    the chain is checked: a block that did not start as the block before it ended is replayed from that end, until every
+    block starts where the last one stopped. So the result is that of one replay, whatever was guessed. Blocks are
+    written to the shared scratch folder in between, as the checks need them.
+    """
+    rows = trades.select("symbol", "trade_id", "price", F.unix_micros("timestamp").alias("us"))
+    rows = _blocks(with_segments(rows, rules.quiet_seconds), rules, lives, warm)
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in zip(_STATE, ("double", "bigint", "bigint"))]
+    found = _written(_replayed(rows.select("*", *nothing), rules), "alert-blocks")
+    while True:
+        wrong = _written(_misjudged(found, rules), "alert-starts")
+        if wrong.isEmpty():
+            break
+        again = _replayed(rows.filter("not warm").join(wrong, _KEY), rules)
+        found = _written(found.join(wrong.select(*_KEY), _KEY, "left_anti").unionByName(again), "alert-blocks")
+    return found.filter("severity is not null").select(
         "symbol",
         "severity",
         "direction",

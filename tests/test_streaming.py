@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tapelake.operators.alerts import AlertRules, Baseline, price_alerts, with_segments
+from tapelake.operators.alerts import LIVES, WARM, AlertRules, Baseline, _blocks, price_alerts, with_segments
 from tapelake.operators.ingest import from_flat_json
 from tapelake.schemas import TRADE_EVENT
 from tapelake.sources import kafka
@@ -81,6 +81,23 @@ def test_batch_alerts_equal_a_plain_replay(make_trades):
     assert tuples(price_alerts(make_trades(items).repartition(7))) == expected
 
 
+@pytest.mark.parametrize("lives,warm", [(1, 0), (2, 1)])
+def test_batch_alerts_do_not_depend_on_the_guess(make_trades, lives, warm):
+    """Short blocks that start from nothing are mostly misjudged, and mended."""
+    items = walk(500, symbols=("HOT", "HOT", "COLD"))
+    assert tuples(price_alerts(make_trades(items), lives=lives, warm=warm)) == reference_alerts(items)
+
+
+def test_a_symbol_without_pauses_is_replayed_in_many_blocks(spark, make_trades):
+    """One symbol around the clock is one stretch, cut into blocks that are about even."""
+    items = [("HOT", 20 * k, 100 + (k * 7 % 13), 1) for k in range(6000)]
+    rows = make_trades(items).select("symbol", "trade_id", "price", F.unix_micros("timestamp").alias("us"))
+    blocks = _blocks(with_segments(rows, 300), AlertRules(), LIVES, WARM).groupBy("segment", "block").count().collect()
+    sizes = sorted(r["count"] for r in blocks)
+    assert len({r.segment for r in blocks}) == 1 and len(blocks) >= 16 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert tuples(price_alerts(make_trades(items))) == reference_alerts(items)
+
+
 def test_segments_cut_only_at_silence(make_trades):
     trades = make_trades([("A", 0, 1, 1), ("A", 3500, 1, 1), ("A", 3700, 1, 1), ("A", 8000, 1, 1), ("A", 8500, 1, 1), ("B", 0, 1, 1)])
     rows = trades.select("symbol", "trade_id", "price", F.unix_micros("timestamp").alias("us"))
