@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tapelake.functions import fixedpoint as fp
 from tapelake.operators import alerts, charts, gold, indicators
 from tapelake.operators.selection import bid_ask_view
 from tapelake.plans.analytics import MEAN, PRICE_STD, VALUE, VOLUME, VWAP
@@ -152,13 +155,19 @@ walk AS (
            CASE WHEN s.rn = 26 THEN (w.total + s.p) / 26 WHEN s.rn > 26 THEN (s.p - w.slow) * (2::DOUBLE / 27) + w.slow END AS slow,
            w.line_total, w.smooth
     FROM walk w JOIN series s ON s.symbol = w.symbol AND s.rn = w.rn + 1))
-SELECT symbol, cast(bucket_ts AS timestamp) AS bucket_ts, fast - slow AS macd, smooth AS signal, (fast - slow) - smooth AS histogram FROM walk WHERE rn >= 34"""
+SELECT symbol, cast(bucket_ts AS timestamp) AS bucket_ts, {macd} AS macd, {signal} AS signal, {histogram} AS histogram FROM walk WHERE rn >= 34"""
 
 
-@query("win_macd", MACD_SQL)
+@query(
+    "win_macd",
+    MACD_SQL.replace("{macd}", rounded("fast - slow", 6)).replace("{signal}", rounded("smooth", 6))
+    .replace("{histogram}", rounded("(fast - slow) - smooth", 6)),
+)
 def win_macd(m):
-    """Over 4-hour candles, as a month of daily ones is shorter than the warm-up."""
-    return indicators.macd(gold.candles(m.trades, "4h"))
+    """Over 4-hour candles, as a month of daily ones is shorter than the warm-up; to six places, as a scan adds in another
+    order than a walk."""
+    found = indicators.macd(gold.candles(m.trades, "4h"))
+    return found.select("symbol", "bucket_ts", *[fp.round_half_up(F.col(c), 6).alias(c) for c in ("macd", "signal", "histogram")])
 
 
 # Sparse data needs a longer memory than five minutes; the replay is otherwise the detector's.

@@ -190,6 +190,30 @@ def test_macd_warm_up(make_trades, n, expected):
         assert [r.histogram for r in got] == pytest.approx([m - s for m, s in zip(line[8:], signal)])
 
 
+@pytest.mark.parametrize("period", [1, 2, 9, 26])
+def test_mean_over_blocks_equals_one_by_one(spark, period):
+    """Many blocks, prices that jump by orders of magnitude, and symbols shorter than the warm-up."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(period)
+    series = {f"S{k}": [rng.uniform(1, 2) * 10 ** rng.choice((0, 0, 3, -3)) for _ in range(n)] for k, n in enumerate((0, 1, period, period + 1, 700, 1500))}
+    rows = [(s, k + 1, v) for s, values in series.items() for k, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "symbol string, n bigint, v double").repartition(5)
+    both = indicators.with_seeded_means(df, "n", "v", {"mean": period, "slow": 100})
+    got = {(r.symbol, r.n): (r.mean, r.slow) for r in both.collect()}
+    assert len(got) == len(rows)
+    for s, values in series.items():
+        means = indicators.SeededEma(period), indicators.SeededEma(100)
+        for k, v in enumerate(values):
+            want = [m.add(v) for m in means]
+            assert all((g is None) == (w is None) for g, w in zip(got[s, k + 1], want))
+            assert [g for g in got[s, k + 1] if g is not None] == pytest.approx([w for w in want if w is not None], rel=1e-11)
+    plan = both.agg(F.sum("mean"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
 def test_rsi_without_losses_is_null_and_balanced_is_fifty(spark):
     rows = [("UP", f"2024-01-{d:02d}", 10.0 + d) for d in range(1, 6)]
     rows += [("EVEN", f"2024-01-{d:02d}", 10.0 + d % 2) for d in range(1, 6)]
