@@ -12,6 +12,8 @@ from tapelake.operators.selection import TradeFilter
 from tapelake.operators.silver import silver_orderbook
 from tapelake.plans.market_sql import rounded
 from tapelake.plans.registry import query
+from tapelake.session import scratch_folder
+from tapelake.sources.lookup import lookup, write_lookup
 
 BRIEF = "trade_id, symbol, price, quantity"
 
@@ -41,6 +43,18 @@ def trade_by_id(m):
     return sel.trade_by_id(m.trades, "T0000000421").select("trade_id", "symbol", "price", "quantity", "timestamp")
 
 
+LOOKED_UP = ["T0000000421", "T0000000007", "T0000004242", "T9999999999"]
+
+
+@query("trade_by_id_lookup", f"SELECT {BRIEF}, timestamp FROM trades WHERE trade_id IN {tuple(LOOKED_UP)}")
+def trade_by_id_lookup(m):
+    """The trades laid out by id, and some looked up; the last id is nobody's."""
+    path = f"{scratch_folder(m.spark, 'by-id')}/t"
+    trades = m.trades.select("trade_id", "symbol", "price", "quantity", "timestamp")
+    write_lookup(trades, path, "trade_id", buckets=16)
+    return lookup(m.spark, path, trades.schema, "trade_id", LOOKED_UP, buckets=16)
+
+
 @query(
     "filter_symbols",
     """SELECT symbol, company_name, sector, market_cap_category, is_current FROM dim_symbol_history
