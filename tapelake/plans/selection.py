@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tapelake.functions import fixedpoint as fp
 from tapelake.operators import selection as sel
 from tapelake.operators.market import top_lists
+from tapelake.operators.paging import Key, page_after, ranked_page
 from tapelake.operators.selection import TradeFilter
 from tapelake.operators.silver import silver_orderbook
 from tapelake.plans.market_sql import rounded
@@ -252,6 +253,31 @@ def page_offset(m):
     return sel.page(rows, [F.desc("timestamp"), F.desc("trade_id")], first=20, offset=40).drop("timestamp")
 
 
+LATEST = [Key("timestamp", falling=True), Key("trade_id", falling=True)]
+
+
+@query(
+    "page_ranked",
+    f"""SELECT {BRIEF}, (SELECT count(*) FROM trades) AS total_count, true AS has_next_page, true AS has_previous_page
+FROM trades ORDER BY timestamp DESC, trade_id DESC LIMIT 50 OFFSET (SELECT count(*) // 2 FROM trades)""",
+)
+def page_ranked(m):
+    """The page in the middle: ranges are counted until few rows are left to sort."""
+    rows = m.trades.select("trade_id", "symbol", "price", "quantity", "timestamp")
+    return ranked_page(rows, LATEST, first=50, offset=rows.count() // 2, most=1000).drop("timestamp")
+
+
+@query(
+    "page_keyset",
+    f"""SELECT {BRIEF} FROM trades WHERE (timestamp, trade_id) < (SELECT (timestamp, trade_id) FROM trades WHERE trade_id = 'T0000000421')
+ORDER BY timestamp DESC, trade_id DESC LIMIT 50""",
+)
+def page_keyset(m):
+    """The page after a trade, found by its key."""
+    rows = m.trades.select("trade_id", "symbol", "price", "quantity", "timestamp")
+    return page_after(rows, LATEST, sel.trade_by_id(rows, "T0000000421").first(), first=50).drop("timestamp")
+
+
 @query(
     "nulls_last_sort",
     """WITH scored AS (
