@@ -120,6 +120,56 @@ def as_of(facts: DataFrame, dim: DataFrame, day: str, attributes: list[str]) ->
     return facts.join(versions, "symbol").filter(valid).drop("effective_date", "expiry_date")
 
 
+#: Facts of a key and a stretch of time that are looked at together.
+TOGETHER = 100_000
+
+
+def as_of_parts(facts: DataFrame, dim: DataFrame, day: str, attributes: list[str], chunk: str, together: int) -> DataFrame:
+    """Facts and versions as one table in which every part, ``(symbol, _chunk, _part)``, can be merged by itself.
+
+    Time is cut into ``chunk``s of the calendar. Each chunk with facts is given the version that was valid last before it,
+    and a chunk with many facts of a symbol is dealt into parts that all get its versions.
+    """
+    version = F.struct("effective_date", "expiry_date", *attributes)
+    cut = lambda column: F.date_trunc(chunk, column)
+    versions = dim.filter("symbol is not null and effective_date is not null").select(
+        "symbol", cut("effective_date").alias("_chunk"), F.col("effective_date").cast("timestamp").alias("_at"), version.alias("_version")
+    )
+    facts = facts.filter(F.col("symbol").isNotNull() & F.col(day).isNotNull())
+    facts = facts.withColumns({"_chunk": cut(day), "_at": F.col(day).cast("timestamp")})
+    held = facts.groupBy("symbol", "_chunk").agg(F.count(F.lit(1)).alias("n"))
+    last = versions.groupBy("symbol", "_chunk").agg(F.max_by("_version", "_at").alias("last"))
+    before = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = held.join(last, ["symbol", "_chunk"], "full").withColumn("carried", F.last("last", True).over(before))
+    parts = F.coalesce(F.ceil(F.col("n") / F.lit(together)), F.lit(0))
+    chunks = chunks.select("symbol", "_chunk", parts.alias("parts"), "carried").filter("parts > 0")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("_part")
+    carried = chunks.filter("carried is not null").select("symbol", "_chunk", every, F.col("_chunk").alias("_at"), F.col("carried").alias("_version"), F.lit(0).alias("_kind"))
+    within = versions.join(chunks.select("symbol", "_chunk", "parts"), ["symbol", "_chunk"]).select("symbol", "_chunk", every, "_at", "_version", F.lit(1).alias("_kind"))
+    crowded = chunks.filter("parts > 1").select("symbol", "_chunk", "parts")
+    own = [F.col(c) for c in facts.columns if not c.startswith("_")]
+    part = F.pmod(F.xxhash64(*own), F.coalesce("parts", F.lit(1)).cast("bigint"))
+    rows = facts.join(crowded, ["symbol", "_chunk"], "left").withColumn("_part", part).drop("parts")
+    rows = rows.withColumn("_kind", F.lit(2))
+    return rows.unionByName(carried.unionByName(within), allowMissingColumns=True)
+
+
+def as_of_merge(
+    facts: DataFrame, dim: DataFrame, day: str, attributes: list[str], chunk: str = "month", together: int = TOGETHER
+) -> DataFrame:
+    """``as_of`` for dimensions with many versions of a key, which must not overlap.
+
+    A join by key and range compares each fact with every version of its key. Here facts and versions are merged in
+    the order of time, and each fact takes the version before it, if that has not expired. Symbols without a version on the
+    day drop out, as do facts without a symbol or day.
+    """
+    rows = as_of_parts(facts, dim, day, attributes, chunk, together)
+    up_to = Window.partitionBy("symbol", "_chunk", "_part").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("_valid", F.last("_version", True).over(up_to))
+    found = found.filter((F.col("_kind") == 2) & (F.col(day) <= F.col("_valid.expiry_date")))
+    return found.select(*facts.columns, *[F.col(f"_valid.{a}").alias(a) for a in attributes])
+
+
 @dataclass(frozen=True)
 class ColumnChange:
     """A rename, or with ``new_type`` a replacement whose old values are not carried over."""

@@ -187,6 +187,19 @@ def scd2_as_of(m):
     )
 
 
+@query(
+    "scd2_as_of_merge",
+    """SELECT t.trade_id, t.symbol, d.company_name, d.market_cap_category FROM trades t
+JOIN dim_symbol_history d ON d.symbol = t.symbol AND t.trading_date BETWEEN d.effective_date AND d.expiry_date""",
+)
+def scd2_as_of_merge(m):
+    """The same by merging trades and versions in the order of time."""
+    trades = m.trades.select("trade_id", "symbol", "trading_date")
+    return scd.as_of_merge(trades, m.dim_symbol_history, "trading_date", ["company_name", "market_cap_category"]).drop(
+        "trading_date"
+    )
+
+
 @query(
     "seed_dim_symbol",
     """SELECT cast(row_number() OVER (ORDER BY substr(md5(symbol), 1, 3), symbol) AS int) AS symbol_key, symbol, company_name, sector, market_cap_category,

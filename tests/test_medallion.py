@@ -1,4 +1,5 @@
-from datetime import date
+import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,3 +180,41 @@ def test_day_writer_prunes_and_filters(spark, market, tmp_path):
         ._jdf.queryExecution().executedPlan().toString()
     )
     assert "PartitionFilters: [isnotnull(day" in plan and "EqualTo(symbol,NATION_3)" in plan
+
+
+@pytest.mark.parametrize("chunk,together", [("month", 100_000), ("day", 7), ("year", 50)])
+def test_as_of_merge_equals_the_join(spark, chunk, together):
+    rng = random.Random(8)
+    start = date(2023, 11, 20)
+    versions, facts = [], []
+    for symbol in ("HOT", "OLD", "GAP", "NEW"):
+        at = start + timedelta(days={"NEW": 60}.get(symbol, 0))
+        for k in range({"HOT": 120, "OLD": 1}.get(symbol, 6)):
+            until = at + timedelta(days=1 if symbol == "HOT" else rng.randrange(3, 20))
+            versions.append((symbol, at, date(9999, 12, 31) if symbol == "OLD" else until - timedelta(days=1), f"{symbol}{k}" if k % 3 else None))
+            at = until + timedelta(days=2 if symbol == "GAP" else 0)
+    for k in range(900):
+        symbol = rng.choice(["HOT", "HOT", "HOT", "OLD", "GAP", "NEW", "NONE", None])
+        day = start + timedelta(days=40 if k % 3 == 0 else rng.randrange(-5, 150))
+        facts.append((k, symbol, None if k % 50 == 0 else day))
+    dim = spark.createDataFrame(versions, "symbol string, effective_date date, expiry_date date, name string")
+    df = spark.createDataFrame(facts, "id int, symbol string, day date").repartition(5)
+    got = scd.as_of_merge(df, dim, "day", ["name"], chunk, together)
+    want = scd.as_of(df, dim, "day", ["name"]).select(*got.columns)
+    assert got.count() > 200
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+def test_as_of_merge_has_no_fan_out(spark):
+    """A key with 10,000 versions and most facts: what is merged is facts and versions, in parts of about one size."""
+    days = F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int"))
+    dim = spark.range(10_000).select(F.lit("HOT").alias("symbol"), days.alias("effective_date"), days.alias("expiry_date"), F.col("id").alias("v"))
+    day = F.date_add(F.lit("2000-01-01").cast("date"), F.when(F.col("id") % 2 == 0, 5000).otherwise(F.col("id") % 10_000).cast("int"))
+    facts = spark.range(200_000).select("id", F.lit("HOT").alias("symbol"), day.alias("day"))
+    parts = scd.as_of_parts(facts, dim, "day", ["v"], "month", 1000).groupBy("symbol", "_chunk", "_part").count()
+    sizes = sorted(r["count"] for r in parts.collect())
+    assert sum(sizes) < 225_000 and sizes[-1] <= 1500 and len(sizes) > 300
+    got = scd.as_of_merge(facts, dim, "day", ["v"], together=1000)
+    assert got.count() == 200_000
+    assert got.filter("v <> case when id % 2 = 0 then 5000 else id % 10000 end").count() == 0
