@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapelake.functions import fixedpoint as fp
+from tapelake.functions.rows import first_rows
 from tapelake.functions.timing import as_date, on_days, ts_literal
 from tapelake.operators.gold import aggregates, ohlcv
 from tapelake.operators.selection import with_change
 
 # Fixed values of the reports.
 TOP_LIST = 5
-SUMMARY_ROWS = 100
 SMA_DAYS = (20, 50)
 RSI_DAYS = 14
 LOOKBACK_DAYS = 20
@@ -72,7 +72,7 @@ def market_overview(gold: DataFrame, day: date | str, n: int = TOP_LIST) -> Data
     return market_totals(gold, day).crossJoin(lists)
 
 
-def daily_market_summary(enriched: DataFrame, day: date | str, limit: int = SUMMARY_ROWS) -> DataFrame:
+def daily_market_summary(enriched: DataFrame, day: date | str, limit: int | None = None) -> DataFrame:
     """End-of-day report: each symbol's bar beside market totals. A close equal to the open counts as an advance."""
     bars = (
         enriched.filter(on_days("traded_at", day, day))
@@ -103,7 +103,7 @@ def daily_market_summary(enriched: DataFrame, day: date | str, limit: int = SUMM
     return (
         bars.crossJoin(totals)
         .orderBy(F.abs("pct_change").desc(), "symbol")
-        .limit(limit)
+        .transform(first_rows, limit)
         .select(
             "symbol",
             "open_price",
@@ -240,7 +240,7 @@ def unusual_volume(
     )
 
 
-def high_volume_alert(daily: DataFrame, day: date | str, factor: float = 3.0, limit: int = 10) -> DataFrame:
+def high_volume_alert(daily: DataFrame, day: date | str, factor: float = 3.0, limit: int | None = None) -> DataFrame:
     """Symbols trading over ``factor`` times their prior mean on ``day``; the mean is taken before the day is chosen."""
     volume, mean = F.col("total_volume").cast("double"), F.col("avg_volume")
     return (
@@ -253,7 +253,7 @@ def high_volume_alert(daily: DataFrame, day: date | str, factor: float = 3.0, li
             fp.round_half_up(volume / F.nullif(mean, F.lit(0.0)), 2).alias("volume_ratio"),
         )
         .orderBy(F.desc("volume_ratio"), "symbol")
-        .limit(limit)
+        .transform(first_rows, limit)
     )
 
 
@@ -272,7 +272,7 @@ def stale_symbols(enriched: DataFrame, cutoff: date | str) -> DataFrame:
     return enriched.groupBy("symbol").agg(F.max("trade_date").alias("latest")).filter(F.col("latest") < as_date(cutoff))
 
 
-def volume_zscores(daily: DataFrame, days: int = 6, limit: int = 20) -> DataFrame:
+def volume_zscores(daily: DataFrame, days: int = 6, limit: int | None = None) -> DataFrame:
     """Largest volume z-scores against the prior ``days`` rows; no deviation gives 0."""
     frame = _by_symbol(-days, -1)
     rows = daily.withColumns(
@@ -283,7 +283,7 @@ def volume_zscores(daily: DataFrame, days: int = 6, limit: int = 20) -> DataFram
     return (
         rows.select("symbol", "trade_date", F.col("total_volume").alias("daily_volume"), "avg_vol", score.alias("z_score"))
         .orderBy(F.desc_nulls_last("z_score"), "symbol", "trade_date")
-        .limit(limit)
+        .transform(first_rows, limit)
     )
 
 
@@ -311,7 +311,7 @@ def sector_flow(trades: DataFrame) -> DataFrame:
     )
 
 
-def agent_profiles(trades: DataFrame, limit: int = 20) -> DataFrame:
+def agent_profiles(trades: DataFrame, limit: int | None = None) -> DataFrame:
     """The busiest buyers with their totals and first and last day."""
     return (
         trades.groupBy(F.col("buyer_agent_id").alias("agent_id"))
@@ -324,7 +324,7 @@ def agent_profiles(trades: DataFrame, limit: int = 20) -> DataFrame:
             F.to_date(F.max("timestamp")).alias("last_trade"),
         )
         .orderBy(F.desc("trade_count"), "agent_id")
-        .limit(limit)
+        .transform(first_rows, limit)
     )
 
 

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapelake.functions.rows import first_rows
 from tapelake.functions import fixedpoint as fp
 from tapelake.functions.timing import as_date, on_days
 from tapelake.operators.silver import first_per_key
@@ -63,8 +64,8 @@ def trade_by_id(trades: DataFrame, trade_id: str) -> DataFrame:
     return trades.filter(F.col("trade_id") == trade_id).limit(1)
 
 
-def newest_trades(trades: DataFrame, symbol: str, limit: int = 100) -> DataFrame:
-    return trades.filter(F.col("symbol") == symbol).orderBy(F.desc("timestamp"), F.desc("trade_id")).limit(limit)
+def newest_trades(trades: DataFrame, symbol: str, limit: int | None = None) -> DataFrame:
+    return first_rows(trades.filter(F.col("symbol") == symbol).orderBy(F.desc("timestamp"), F.desc("trade_id")), limit)
 
 
 def filter_symbols(
@@ -134,12 +135,12 @@ def bid_ask_view(trades: DataFrame) -> DataFrame:
     return trades.withColumns({"side": F.when(F.col("is_aggressive_buy"), "buy").otherwise("sell"), "size_bucket": size})
 
 
-def block_trades(bid_ask: DataFrame, limit: int = 500) -> DataFrame:
-    """The largest block trades."""
+def block_trades(bid_ask: DataFrame, limit: int | None = None) -> DataFrame:
+    """Block trades, largest first."""
     return (
         bid_ask.filter(F.col("quantity") >= BLOCK_SHARES)
         .orderBy(F.desc("quantity"), "timestamp", "trade_id")
-        .limit(limit)
+        .transform(first_rows, limit)
         .select("timestamp", "symbol", "side", "price", "quantity")
     )
 
@@ -151,9 +152,9 @@ def latest_book(books: DataFrame, symbol: str | None = None) -> DataFrame:
     return first_per_key(books, ["symbol"], [F.desc("timestamp")])
 
 
-def book_spreads(books: DataFrame, symbol: str, limit: int = 50) -> DataFrame:
+def book_spreads(books: DataFrame, symbol: str, limit: int | None = None) -> DataFrame:
     columns = ["symbol", "timestamp", "best_bid_price", "best_ask_price", "spread", "mid_price", "bid_depth", "ask_depth"]
-    return books.filter(F.col("symbol") == symbol).orderBy(F.desc("timestamp")).limit(limit).select(*columns)
+    return first_rows(books.filter(F.col("symbol") == symbol).orderBy(F.desc("timestamp")), limit).select(*columns)
 
 
 def top_notional(trades: DataFrame, limit: int = 10) -> DataFrame:

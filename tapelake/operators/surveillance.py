@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapelake.functions import fixedpoint as fp
+from tapelake.functions.rows import first_rows
 from tapelake.operators.market import days_before
 
 # Fixed values of the saved query.
 SIZE_TOLERANCE = "0.05"
 MIN_PAIRS = 3
-MAX_ROWS = 50
 
 
 def _wide(x: Column) -> Column:
@@ -74,7 +74,7 @@ def wash_trades(
     days: int = 7,
     tolerance: str = SIZE_TOLERANCE,
     min_pairs: int = MIN_PAIRS,
-    limit: int = MAX_ROWS,
+    limit: int | None = None,
 ) -> DataFrame:
     """Symbols with many same-day opposite-side pairs of similar size: pairs, mean buy price, and buy quantity over pairs."""
     recent = enriched.filter(F.col("trade_date") >= days_before(as_of, days))
@@ -96,7 +96,7 @@ def wash_trades(
             F.col("qty").cast("bigint").alias("total_qty"),
         )
         .orderBy(F.desc("paired_trades"), "symbol")
-        .limit(limit)
+        .transform(first_rows, limit)
     )
 
 

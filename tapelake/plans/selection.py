@@ -119,7 +119,7 @@ def trades_by_sector(m):
     f"SELECT {BRIEF}, timestamp FROM trades WHERE symbol = {BUSY} ORDER BY timestamp DESC, trade_id DESC LIMIT 100",
 )
 def trades_by_symbol(m):
-    return sel.newest_trades(m.trades, SYMBOL).select("trade_id", "symbol", "price", "quantity", "timestamp")
+    return sel.newest_trades(m.trades, SYMBOL, 100).select("trade_id", "symbol", "price", "quantity", "timestamp")
 
 
 @query(
@@ -154,7 +154,7 @@ def silver_books(m):
 WHERE symbol = {BUSY} ORDER BY timestamp DESC LIMIT 50""",
 )
 def orderbook_spread(m):
-    return sel.book_spreads(silver_books(m), SYMBOL)
+    return sel.book_spreads(silver_books(m), SYMBOL, 50)
 
 
 @query(
@@ -193,7 +193,7 @@ def trades_bid_ask_view(m):
 ORDER BY quantity DESC, timestamp, trade_id LIMIT 500""",
 )
 def large_trades(m):
-    return sel.block_trades(sel.bid_ask_view(m.trades))
+    return sel.block_trades(sel.bid_ask_view(m.trades), 500)
 
 
 @query(
