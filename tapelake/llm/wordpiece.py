@@ -142,12 +142,13 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     empty and blank texts count 0; repeated rows and null ids are counted like others; other columns are not read.
     ``vocabulary`` is the path of a file on the driver. Its automaton, bounded by the vocabulary, is broadcast.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Automaton(read_vocabulary(vocabulary)))
+    # Sent with its class, so that executors need not have this package.
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Automaton(read_vocabulary(vocabulary))))
     kind = StructType([StructField("n_words", LongType(), False), StructField("n_tokens", LongType(), False)])
 
     @F.pandas_udf(kind)
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        count = text_counter(shared.value)
+        count = text_counter(cloudpickle.loads(shared.value))
         for texts in batches:
             yield pd.DataFrame([count(t) for t in texts], columns=["n_words", "n_tokens"], dtype="int64")
 
