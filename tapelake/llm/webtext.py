@@ -13,7 +13,6 @@ import sys
 from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import cache
 
 import pandas as pd
 import pyarrow as pa
@@ -111,7 +110,6 @@ def own_articles(page: str) -> list[int]:
     return [m.start() for m in ARTICLES.finditer(page) if m[2] and not element(m[2].lower(), m[3]).dropped]
 
 
-@cache
 def edges_of(tag: str) -> re.Pattern:
     return re.compile(rf"<(/?){re.escape(tag)}(?![^\s/>])[^>]*>", re.I)
 
