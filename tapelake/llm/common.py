@@ -24,3 +24,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 def whole_text(column: str = "text") -> Column:
     """The text, null taken as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """The name, with underscores before it until it is none of those taken in any case."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = "_" + name
+    return name

@@ -1,7 +1,8 @@
 """Benchmark decontamination: windows as long as an item, found by SimHash and confirmed by exact similarity.
 
-For every item length, all windows of a text with that many words that can reach the similarity get a SimHash of their
-word shingles. Fingerprints of items are indexed in blocks of bits, each with all values a few flips away; with six blocks
+The benchmark's own words are numbered; only runs of five of them in a text can be a shingle of an item, and only those are
+hashed to see which are. For every item length, the windows of that many words that hold enough of these to reach the
+similarity get a SimHash of their word shingles. Fingerprints of items are indexed in blocks of bits, each with all values a few flips away; with six blocks
 and two flips any item within 17 bits of a window is met in some block. What is met is confirmed by the weighted Jaccard
 similarity of the shingles themselves, a shingle's weight being how often it occurs.
 """
@@ -13,6 +14,7 @@ import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
-from tapelake.llm.common import whole_text
+from tapelake.llm.common import fresh, settle, whole_text
 from tapelake.llm.simhash import bit_columns, flips
 
 WIDTH = 5
@@ -52,13 +54,17 @@ class WordHashes(dict):
 
 def shingle_hashes(words: list[str], known: WordHashes) -> np.ndarray:
     """A 64-bit hash of every shingle of words."""
-    n = len(words) - WIDTH + 1
-    if n < 1:
+    if len(words) < WIDTH:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    out = np.zeros(n, np.uint64)
+    return shingles_at(h, np.arange(len(words) - WIDTH + 1))
+
+
+def shingles_at(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the shingles at some starts, from the hashes of all words."""
+    out = np.zeros(len(starts), np.uint64)
     for k in range(WIDTH):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[starts + k]
     out ^= out >> np.uint64(29)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     return out ^ (out >> np.uint64(32))
@@ -116,6 +122,8 @@ class Items:
 
     by_length: dict[int, SameLength]
     shingles: np.ndarray
+    numbers: dict[str, int]  # of the items' words, from 1
+    hashes: np.ndarray  # of the words by number; 0 has none
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]]) -> Items:
@@ -134,33 +142,50 @@ class Items:
         for length, same in by_length.items():
             same.fps = np.concatenate(fps[length])
             same.index()
-        return cls(dict(by_length), np.unique(np.concatenate(seen)))
+        numbers = {word: k for k, word in enumerate(known, 1)}
+        return cls(dict(by_length), np.unique(np.concatenate(seen)), numbers, np.array([0, *known.values()], np.uint64))
+
+    def shared(self, words: list[str]) -> np.ndarray:
+        """Positions of the shingles that items have too."""
+        if len(words) < WIDTH or not len(self.shingles):
+            return np.zeros(0, np.int64)
+        numbers = np.fromiter(map(self.numbers.get, words, repeat(0)), np.int32, len(words))
+        unknown = np.concatenate([[0], np.cumsum(numbers == 0)])
+        starts = np.flatnonzero(unknown[WIDTH:] == unknown[:-WIDTH])
+        hashes = shingles_at(self.hashes[numbers], starts)
+        at = np.minimum(np.searchsorted(self.shingles, hashes), len(self.shingles) - 1)
+        return starts[self.shingles[at] == hashes]
 
     def matches(self, text: str, known: WordHashes, similarity: float) -> list[tuple[int, float, int, int]]:
-        """For each item the most similar window, the first if several: (item, similarity, first word, words)."""
+        """For each item the most similar window: (item, similarity, first word, words). Ties go to the first, then to the
+        one with fewer words."""
         words = find_words(text.lower())
-        hashes = shingle_hashes(words, known)
-        if not len(hashes) or not len(self.shingles):
+        held = self.shared(words)
+        if not len(held):
             return []
-        at = np.minimum(np.searchsorted(self.shingles, hashes), len(self.shingles) - 1)
-        shared = np.concatenate([[0], np.cumsum(self.shingles[at] == hashes)])
+        shared = np.zeros(len(words) - WIDTH + 2, np.int32)
+        shared[held + 1] = 1
+        np.cumsum(shared, out=shared)
         best: dict[int, tuple[float, int, int]] = {}
         for length, same in self.by_length.items():
             n = length - WIDTH + 1
             # A window with fewer shingles of items than this is not similar enough to any item.
-            starts = np.flatnonzero(shared[n:] - shared[:-n] >= max(1, np.ceil(similarity * n - 1e-9)))
+            least = max(1, np.ceil(similarity * n - 1e-9))
+            if len(held) < least:
+                continue
+            starts = np.flatnonzero(shared[n:] - shared[:-n] >= least)
             if not len(starts):
                 continue
             for run in np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1):
                 for first in range(run[0], run[-1] + 1, WINDOWS_AT_ONCE):
                     last = min(first + WINDOWS_AT_ONCE, run[-1] + 1)
-                    fps = window_fingerprints(hashes[first : last + n - 1], n)
+                    fps = window_fingerprints(shingle_hashes(words[first : last + length - 1], known), n)
                     for window, item in sorted(same.candidates(fps)):
                         score = weighted_jaccard(words, first + window, length, same.shingles[item])
-                        item_id = same.ids[item]
-                        if score >= similarity and score > best.get(item_id, (0.0,))[0]:
-                            best[item_id] = (score, int(first + window), length)
-        return [(item, *found) for item, found in sorted(best.items())]
+                        place = (-score, int(first + window), length)
+                        if score >= similarity and place < best.get(same.ids[item], (0.0,)):
+                            best[same.ids[item]] = place
+        return [(item, -score, start, n) for item, (score, start, n) in sorted(best.items())]
 
 
 def weighted_jaccard(words: list[str], start: int, length: int, item: Counter) -> float:
@@ -188,7 +213,7 @@ def matches_column(items: Items, similarity: float) -> Column:
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int, block_items: int) -> Iterator[Items]:
-    """The benchmark in blocks of bounded size; one reaches the driver, and then the tasks, at a time."""
+    """The benchmark in blocks of about this size; one is in the driver at a time, if the caller keeps none."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), whole_text().alias("text"))
     items = items.filter("item_id is not null").distinct()
     n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
@@ -201,15 +226,34 @@ def item_blocks(benchmark: DataFrame, block_chars: int, block_items: int) -> Ite
 def contamination(
     docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_chars: int = 4_000_000, block_items: int = 2000
 ) -> DataFrame:
-    """The rows of ``docs`` and ``matches``: for each item of ``benchmark(item_id, text)`` the most similar window.
+    """The rows of ``docs`` and ``matches``: for each item of ``benchmark(item_id, text)`` the most similar window, ties
+    going to the first and then to the one with fewer words.
 
     Words are runs of letters and digits in lower case, shingles five words. Null and empty texts match nothing; nor do
-    items under five words, which have no shingle, or with a null id. Items that share an id count as one. A column of docs
-    named ``matches`` is replaced. A benchmark beyond a block is searched block by block, each in a pass over docs' rows.
+    items under five words, which have no shingle, or with a null id. Items that share an id count as one, whatever blocks
+    their texts are in. A column of docs named ``matches`` is replaced; all others may have any name. A benchmark beyond a
+    block is searched block by block: each is a pass over the texts whose matches are written before the next is read.
     """
-    columns = [matches_column(items, similarity) for items in item_blocks(benchmark, block_chars, block_items)]
-    found = F.concat(*columns) if len(columns) > 1 else columns[0]
-    return docs.withColumn("matches", found)
+    blocks = item_blocks(benchmark, block_chars, block_items)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return docs.withColumn("matches", matches_column(first, similarity))
+    row = fresh("_row", docs.columns)
+    docs = settle(docs.drop("matches").withColumn(row, F.monotonically_increasing_id()), "block-docs")
+
+    def found(items: Items) -> DataFrame:
+        all_of = docs.select(row, F.explode_outer(matches_column(items, similarity)).alias("m"))
+        return settle(all_of.filter("m is not null"), "block-matches")
+
+    parts = found(first).unionByName(found(second))
+    del first, second
+    for items in blocks:
+        parts = parts.unionByName(found(items))
+    place = F.struct(-F.col("m.similarity"), "m.start_word", "m.n_words")
+    best = parts.groupBy(row, "m.item_id").agg(F.min_by("m", place).alias("m"))
+    best = best.groupBy(row).agg(F.array_sort(F.collect_list("m")).alias("matches"))
+    none = F.array().cast(ArrayType(MATCH))
+    return docs.join(best, row, "left").withColumn("matches", F.coalesce("matches", none)).drop(row)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -217,6 +217,20 @@ def test_an_edited_passage_is_found_and_a_half_one_is_not(spark):
     assert decontaminate.contaminated(docs, empty(spark, bench.schema)).collect() == []
 
 
+def test_blocks_do_not_change_the_matches(spark):
+    """Six texts under one id, in one block and in many, on documents with clashing names."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(n)) for n in (20, 20, 25, 30, 30, 40)]
+    bench = spark.createDataFrame([(7, t) for t in texts] + [(8, texts[0])], "item_id long, text string")
+    rows = [(k, " ".join(rng.sample(texts, 3)), "mine", k) for k in range(12)] + [(99, None, None, None), (3, texts[2], "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, matches string, _row long")
+    one = decontaminate.contamination(docs, bench)
+    many = decontaminate.contamination(docs, bench, block_items=1)
+    assert many.columns == ["doc_id", "text", "_row", "matches"]
+    assert sorted(map(str, one.select(*many.columns).collect())) == sorted(map(str, many.collect()))
+    assert all(len({m.item_id for m in r.matches}) == len(r.matches) for r in many.collect())
+
+
 # --- neighbours
 
 
