@@ -77,6 +77,22 @@ def evt_flatten_other(m):
     return ingest.flatten(valid).select("offset", "flat")
 
 
+@query(
+    "evt_flatten_orders",
+    """SELECT n AS "offset", CASE event_type
+  WHEN 'OrderPlaced' THEN '{"event_type":"OrderPlaced","event_id":"E' || n || '","timestamp":"2024-01-01T00:00:00Z","order_id":"O1","symbol":"' || symbol || '","side":"Buy","order_type":"Limit","price":null,"quantity":' || quantity || ',"agent_id":"A1","agent_type":"MarketMaker"}'
+  WHEN 'OrderCancelled' THEN '{"event_type":"OrderCancelled","event_id":"E' || n || '","timestamp":"2024-01-01T00:00:00Z","order_id":"O1","symbol":"' || symbol || '","side":"Sell","price":' || price::DOUBLE || ',"remaining_quantity":0,"agent_id":"A1","reason":"user"}'
+  WHEN 'OrderBookSnapshot' THEN '{"event_type":"OrderBookSnapshot","event_id":"E' || n || '","timestamp":"2024-01-01T00:00:00Z","symbol":"' || symbol || '","bids":[{"price":' || price::DOUBLE || ',"quantity":5,"order_count":0}],"asks":[],"sequence_number":null}'
+  END AS flat
+FROM feed WHERE status = 'valid' AND event_type IN ('OrderPlaced', 'OrderCancelled', 'OrderBookSnapshot')""",
+)
+def evt_flatten_orders(m):
+    """The exact flat text of orders, cancellations and books, prices taken from the data."""
+    wanted = F.col("event_type").isin("OrderPlaced", "OrderCancelled", "OrderBookSnapshot")
+    valid = m.validated.filter(F.col("is_valid") & wanted)
+    return ingest.flatten(valid).select("offset", "flat")
+
+
 @query(
     "evt_dlq",
     """SELECT n AS "offset", CASE status WHEN 'bad_json' THEN 'json_decode_error' ELSE 'validation_error' END AS error, true AS keeps_message

@@ -17,7 +17,7 @@ from tapelake.schemas import BOOK_EVENT, BRONZE_ORDERBOOK, BRONZE_TRADES, SILVER
 from tapelake.session import scratch_folder
 from tapelake.sources import files, kafka
 from tapelake.sources.views import PROCESSED_AT
-from tapelake.streaming import aggregates, pipelines
+from tapelake.streaming import aggregates, corrections, pipelines
 from tapelake.streaming.price_alerts import price_alert_stream
 
 TRADE = "trade_id, symbol, price, quantity"
@@ -306,6 +306,31 @@ def st_late_data(m):
     return parts[0].unionByName(parts[1])
 
 
+@query(
+    "st_late_corrections",
+    f"""WITH told AS (SELECT *, _kafka_offset % 10 = 0 AND timestamp < TIMESTAMP '2024-01-20' AS late FROM trades)
+SELECT symbol, time_bucket(INTERVAL '15 minutes', timestamp) AS window_start, count(*) AS trade_count, {VOLUME} AS total_volume,
+       {VWAP} AS vwap, max(price) AS high_price, min(price) AS low_price, CASE WHEN bool_or(late) AND bool_or(NOT late) THEN 2 ELSE 1 END AS version
+FROM told GROUP BY 1, 2
+HAVING time_bucket(INTERVAL '15 minutes', min(timestamp)) + INTERVAL '15 minutes' <= (SELECT date_trunc('millisecond', max(timestamp)) FROM trades) - INTERVAL '5 seconds'""",
+)
+def st_late_corrections(m):
+    """Every tenth trade before the 20th arrives in a second batch: its window, put out before, is put out again."""
+    base = scratch_folder(m.spark, "corrections")
+    late = (F.col("offset") % 10 == 0) & (F.get_json_object("value", "$.timestamp") < "2024-01-20")
+    topic = f"{base}/topic"
+    for k, part in enumerate((~late, late)):
+        more = f"{base}/part{k}"
+        kafka.record(m.trade_messages.filter(part), more)
+        m.spark.read.schema(kafka.RECORDED).parquet(more).write.mode("append").parquet(topic)
+        rows = trade_stream(m, topic).select("symbol", "price", "quantity", event_time("timestamp").alias("event_time"))
+        corrections.corrected_windows(
+            rows, "15m", f"{base}/changes", f"{base}/too_late", f"{base}/state", f"{base}/checkpoint", lateness="400 days", interval=None
+        ).awaitTermination()
+    found = corrections.latest(m.spark.read.schema(corrections.CHANGES).parquet(f"{base}/changes"))
+    return found.select("symbol", "window_start", "trade_count", "total_volume", "vwap", "high_price", "low_price", "version")
+
+
 @query("st_checkpoint", f"SELECT {TRADE} FROM trades")
 def st_checkpoint(m):
     """The stream is stopped half way and started again; the checkpoint makes the second run take up the rest only."""
