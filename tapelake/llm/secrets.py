@@ -11,11 +11,12 @@ little power, so face a stricter threshold than long ones.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import whole_text
+from tapelake.llm.common import fresh, whole_text
 
 #: Fixed patterns of the contract; what they match is kept if long enough.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -37,25 +38,98 @@ ENCODINGS = (
     ("base64", "", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 )
 BINS = 50
+#: How many elements are scanned as one, and how often blocks are made of blocks.
+BLOCK = 64
+DEPTH = 3
 MASK = "[SECRET]"
 SPAN = "struct<start:bigint,kind:int,end:bigint,text:string>"
 
 
+def named(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once: inside a lambda an expression is otherwise computed for every element."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def blocks_of(items: Column) -> Column:
+    """The items in blocks of BLOCK, the last one shorter; items must be a column or named."""
+    starts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(BLOCK)))
+    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda at: F.slice(items, at, BLOCK))
+
+
+def running(items: Column, combine: Callable[[Column, Column], Column], zero: Column, depth: int = DEPTH) -> Column:
+    """For each item the combination of zero and all items before it, as in a scan; combine must be associative.
+
+    An array that grows by an element is copied each time, so blocks of bounded size are scanned, from starts that come
+    from scanning the blocks' totals: the work is about BLOCK an item.
+    """
+    kind = F.array(zero)
+
+    def scan_from(first: Column, part: Column) -> Column:
+        start = F.struct(first.alias("at"), F.slice(kind, 1, 0).alias("out"))
+        step = lambda s, x: F.struct(combine(s["at"], x).alias("at"), F.array_append(s["out"], s["at"]).alias("out"))
+        return F.aggregate(part, start, step, lambda s: s["out"])
+
+    if depth == 0:
+        return scan_from(zero, items)
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, zero, combine))
+        firsts = named(totals, lambda t: running(t, combine, zero, depth - 1))
+        return F.flatten(F.zip_with(parts, firsts, lambda part, first: scan_from(first, part)))
+
+    return named(blocks_of(items), joined)
+
+
 def located(text: str, matches: str, pattern: str, kind: int) -> Column:
     """Spans of all matches of a pattern, whose texts are in column ``matches``: the texts between them tell where."""
     none = F.array().cast(f"array<{SPAN}>")
-    gaps = F.split(F.col(text), pattern, -1)
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
 
-    def add(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gaps"])
-        end = begin + F.length(pair["found"])
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), pair["found"].alias("text"))
-        return F.struct(end.alias("at"), F.array_append(state["spans"], span).alias("spans"))
+    def length(found: Column, gap: Column) -> Column:
+        return F.struct(F.length(gap).cast("long").alias("gap"), F.length(found).cast("long").alias("own"), found.alias("text"))
+
+    def spans(pairs: Column) -> Column:
+        steps = F.transform(pairs, lambda p: p["gap"] + p["own"])
+        before = named(steps, lambda n: running(n, lambda a, b: a + b, F.lit(0).cast("long")))
+
+        def span(p: Column, at: Column) -> Column:
+            begin = at + p["gap"]
+            return F.struct(begin.alias("start"), F.lit(kind).alias("kind"), (begin + p["own"]).alias("end"), p["text"].alias("text"))
+
+        return F.zip_with(pairs, before, span)
+
+    # The text after the last match is no gap: split() gives one element more than there are matches.
+    pairs = named(F.split(F.col(text), pattern, -1), lambda g: F.zip_with(F.col(matches), F.slice(g, 1, F.size(matches)), length))
+    return F.when(F.size(matches) > 0, named(pairs, spans)).otherwise(none)
+
+
+def apart(spans: Column, others: Column) -> Column:
+    """The spans that overlap none of ``others``; both in order, and ``spans`` without overlaps among themselves.
+
+    In the order of starts, a span is met from the left if an earlier other ends after its start, and from the right if
+    the next other starts before its end.
+    """
+    far = F.lit(2**62).cast("long")
+
+    def marked(of: Column, own: bool) -> Column:
+        return F.transform(of, lambda s: F.struct(s["start"].alias("start"), F.lit(own).alias("own"), s.alias("s")))
+
+    def kept(merged: Column) -> Column:
+        def end(s: Column) -> Column:
+            return F.when(s["own"], F.lit(0).cast("long")).otherwise(s["s"]["end"])
+
+        def start(s: Column) -> Column:
+            return F.when(s["own"], far).otherwise(s["start"])
+
+        left = named(F.transform(merged, end), lambda ends: running(ends, lambda a, b: F.greatest(a, b), F.lit(0).cast("long")))
+        starts = F.reverse(F.transform(merged, start))
+        right = F.reverse(named(starts, lambda back: running(back, lambda a, b: F.least(a, b), far)))
+        bounds = F.arrays_zip(merged.alias("m"), left.alias("left"), right.alias("right"))
+        free = F.filter(bounds, lambda v: v["m"]["own"] & (v["left"] <= v["m"]["start"]) & (v["right"] >= v["m"]["s"]["end"]))
+        return F.transform(free, lambda v: v["m"]["s"])
 
-    pairs = F.arrays_zip(gaps.alias("gaps"), F.col(matches).alias("found"))
-    spans = F.aggregate(F.slice(pairs, 1, F.size(matches)), start, add, lambda s: s["spans"])
-    return F.when(F.size(matches) > 0, spans).otherwise(none)
+    # Others come first among equal starts, so that they are met from the left.
+    merged = F.array_sort(F.concat(marked(others, False), marked(spans, True)))
+    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(named(merged, kept))
 
 
 def tail(z: Column) -> Column:
@@ -152,19 +226,23 @@ def scan(docs: DataFrame, limit: float = 0.05, into: str = "spans") -> DataFrame
     passed = [F.lit(x) for item in thresholds(docs, limit).items() for x in item]
     columns = [c for c in docs.columns if c != into]
     patterns = (ASSIGN, ACCESS, HEX, TOKEN)
-    found = docs.select(*columns, whole_text().alias("_text"))
-    found = found.select("*", *[F.regexp_extract_all("_text", F.lit(p), F.lit(0)).alias(f"_m{k}") for k, p in enumerate(patterns)])
-    found = found.select(*columns, *[located("_text", f"_m{k}", p, k).alias(f"_s{k}") for k, p in enumerate(patterns)])
-    long_enough = F.filter("_s0", lambda s: F.length(F.regexp_extract(s["text"], ASSIGN, 2)) >= 6)
-    found = found.select(*columns, F.array_sort(F.concat(long_enough, "_s1", "_s2")).alias("_base"), "_s3")
-    random = F.filter("_s3", lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    taken = [*docs.columns, into]
+    text, base = fresh("_text", taken), fresh("_base", taken)
+    m, s = ([fresh(f"_{c}{k}", taken) for k in range(len(patterns))] for c in "ms")
+    found = docs.select(*columns, whole_text().alias(text))
+    found = found.select("*", *[F.regexp_extract_all(text, F.lit(p), F.lit(0)).alias(m[k]) for k, p in enumerate(patterns)])
+    found = found.select(*columns, *[located(text, m[k], p, k).alias(s[k]) for k, p in enumerate(patterns)])
+    long_enough = F.filter(s[0], lambda v: F.length(F.regexp_extract(v["text"], ASSIGN, 2)) >= 6)
+    found = found.select(*columns, F.array_sort(F.concat(long_enough, s[1], s[2])).alias(base), s[3])
+    found = found.select(*columns, base, apart(F.col(s[3]), F.col(base)).alias(s[3]))
+    random = F.col(s[3])
     if passed:
         bar = F.create_map(*passed)
-        pairs = F.transform(random, lambda s: F.struct(s.alias("s"), tested(s["text"]).alias("t")))
+        pairs = F.transform(random, lambda v: F.struct(v.alias("s"), tested(v["text"]).alias("t")))
         random = F.transform(F.filter(pairs, lambda v: v["t"]["p"] * BINS >= F.coalesce(bar[v["t"]["stratum"]], F.lit(BINS + 1))), lambda v: v["s"])
     else:
         random = F.array().cast(f"array<{SPAN}>")
-    spans = F.transform(F.array_sort(F.concat("_base", random)), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    spans = F.transform(F.array_sort(F.concat(base, random)), lambda v: F.struct(v["start"].alias("start"), v["kind"].alias("kind"), v["end"].alias("end")))
     return found.select(*columns, spans.alias(into))
 
 
@@ -186,19 +264,31 @@ def digest(docs: DataFrame, limit: float = 0.05) -> DataFrame:
 def masked(docs: DataFrame, limit: float = 0.05) -> DataFrame:
     """The rows of docs with each secret, or run of overlapping ones, replaced by a mask; ``n_chars``, where there is such
     a column, follows the text."""
-    found = scan(docs, limit, "_spans")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def add(state: Column, s: Column) -> Column:
-        gap = F.substring("text", state["at"].cast("int") + 1, (s["start"] - state["at"]).cast("int"))
-        more = F.when(s["start"] >= state["at"], F.concat(state["parts"], F.array(gap, F.lit(MASK)))).otherwise(state["parts"])
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), more.alias("parts"))
-
-    rest = F.substring("text", F.col("_cut.at").cast("int") + 1, F.length("text"))
-    found = found.withColumn("_cut", F.when(F.size("_spans") > 0, F.aggregate("_spans", start, add)))
-    text = F.when(F.col("_cut").isNotNull(), F.concat(F.array_join("_cut.parts", ""), rest)).otherwise(F.col("text"))
-    found = found.withColumn("text", text)
+    spans, cut = fresh("_spans", docs.columns), fresh("_cut", docs.columns)
+    text = F.col("text").cast("string")
+
+    def gaps(found: Column) -> Column:
+        """What lies between one span and the furthest end before it; none where they overlap."""
+        ends = F.transform(found, lambda v: v["end"])
+        before = named(ends, lambda e: running(e, lambda x, y: F.greatest(x, y), F.lit(0).cast("long")))
+        pairs = F.zip_with(before, found, lambda at, v: F.struct(at.alias("at"), v["start"].alias("to")))
+        return F.filter(pairs, lambda g: g["to"] >= g["at"])
+
+    def piece(of: Column, at: Column, to: Column) -> Column:
+        return F.substring(of, at.cast("int") + 1, (to - at).cast("int"))
+
+    def parts(block: Column) -> Column:
+        """The gaps of a block, cut from its own stretch of the text: positions are found by walking there."""
+        first = block[0]["at"]
+        stretch = F.struct(piece(text, first, F.element_at(block, -1)["to"]).alias("text"), first.alias("at"))
+        return named(stretch, lambda v: F.transform(block, lambda g: F.concat(piece(v["text"], g["at"] - v["at"], g["to"] - v["at"]), F.lit(MASK))))
+
+    pieces = named(gaps(F.col(spans)), lambda g: F.flatten(F.transform(blocks_of(g), parts)))
+    rest = F.substring(text, F.array_max(F.transform(spans, lambda v: v["end"])).cast("int") + 1, F.length(text))
+    found = scan(docs, limit, spans)
+    found = found.withColumn(cut, F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)))
+    out = {"text": F.coalesce(F.col(cut), F.col("text"))}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        found = found.withColumn("n_chars", F.when(F.col("_cut").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return found.select(*docs.columns)
+        out["n_chars"] = F.when(F.col(cut).isNotNull(), F.length(cut).cast(kind)).otherwise(F.col("n_chars"))
+    return found.withColumns(out).select(*docs.columns)

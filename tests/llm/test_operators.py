@@ -364,6 +364,36 @@ def test_overlapping_spans_are_masked_once(spark):
 # --- licences
 
 
+def test_many_spans_in_one_text_and_clashing_names(spark):
+    """More spans than two blocks of the scan hold, fixed ones over and beside others, against plain patterns."""
+    rng = random.Random(8)
+    parts = []
+    for i in range(700):
+        token = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=rng.randrange(20, 40)))
+        parts.append(rng.choice(["é ", "token=", "AKIA" + "B" * 18 + " ", "0123456789abcdef" * 2 + "/", ""]) + token)
+    text = " ".join(parts)
+    names = "doc_id long, text string, _spans long, _text long, _base string, _s0 int, _m1 int, _cut int"
+    docs = spark.createDataFrame([(1, text, 5, 6, "b", 7, 8, 9), (2, None, None, None, None, None, None, None)], names)
+    found = {r.doc_id: r for r in secrets.scan(docs).collect()}
+    base = []
+    for kind, pattern in enumerate((secrets.ASSIGN.replace("(?i)", ""), secrets.ACCESS, secrets.HEX)):
+        for m in re.finditer(pattern.replace(r"\x20", " "), text, re.I if kind == 0 else 0):
+            if kind or len(m[2]) >= 6:
+                base.append((m.start(), kind, m.end()))
+    tokens = [(m.start(), m.end()) for m in re.finditer(secrets.TOKEN, text)]
+    free = {(a, 3, b) for a, b in tokens if not any(s < b and a < e for s, _, e in base)}
+    got = [tuple(s) for s in found[1].spans]
+    assert got == sorted(got) and [s for s in got if s[1] < 3] == sorted(base) and len(base) > 200
+    assert {s for s in got if s[1] == 3} <= free and len([s for s in got if s[1] == 3]) > 0.9 * len(free) > 100
+    want, at = "", 0
+    for start, _, end in got:
+        if start >= at:
+            want += text[at:start] + secrets.MASK
+        at = max(at, end)
+    row = {r.doc_id: r for r in secrets.masked(docs).collect()}
+    assert row[1].text == want + text[at:] and tuple(row[1])[2:] == (5, 6, "b", 7, 8, 9) and row[2].text is None
+
+
 def test_licences_and_inheritance(spark):
     notice = "Licensed under the Apache License, Version 2.0."
     files = [
