@@ -37,12 +37,13 @@ class Tree:
     def leaves(self) -> int:
         return max(self.leaf) + 1
 
-    def visit(self, query: np.ndarray, most: int) -> list[int]:
-        """Leaves in best-bin-first order. A node's promise is the inner product with its centre and the reach of its
-        spread along the query."""
+    def visit(self, query: np.ndarray, most: int, held: np.ndarray | None = None, rows: int = 0) -> list[int]:
+        """``most`` leaves in best-bin-first order, more while those visited hold under ``rows`` by the counts ``held``. A
+        node's promise is the inner product with its centre and the reach of its spread along the query."""
         promise = self.centre @ query + self.spread * np.sqrt(query @ query)
         queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+        got = 0
+        while queue and (len(out) < most or got < rows):
             _, node = heapq.heappop(queue)
             while self.leaf[node] < 0:
                 ranked = sorted((-promise[c], c) for c in self.children[node])
@@ -50,6 +51,7 @@ class Tree:
                     heapq.heappush(queue, other)
                 node = ranked[0][1]
             out.append(self.leaf[node])
+            got += held[self.leaf[node]] if held is not None else 0
         return out
 
     def assign(self, rows: np.ndarray) -> np.ndarray:
@@ -219,17 +221,21 @@ def search(
     queries = rows.filter(is_query).select("vec_id", "embedding")
     visits = calibrate(tree, rows, queries, k, recall, sample_queries)
 
+    held = np.zeros(tree.leaves, np.int64)
+    # Leaves are bounded by the sample, so these counts are few.
+    for r in rows.groupBy("leaf").count().collect():
+        held[r.leaf] = r["count"]
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in (batch.slice(at, 256) for at in range(0, len(batch), 256)):
-                leaves = [tree.visit(q, visits) for q in matrix(some["embedding"])]
+                leaves = [tree.visit(q, visits, held, k + 1) for q in matrix(some["embedding"])]
                 row = np.repeat(np.arange(len(some)), [len(x) for x in leaves])
                 part = some.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.concatenate(leaves))], [*part.schema.names, "leaf"])
 
     routed = settle(queries.mapInArrow(route, f"vec_id long, embedding {kind}, leaf long"), "visits")
-    # Leaves are bounded by the sample, so these counts are few.
-    parts = {r.leaf: -(-r["count"] // block_rows) for r in rows.groupBy("leaf").count().collect()}
+    parts = {leaf: -(-int(n) // block_rows) for leaf, n in enumerate(held) if n}
     turns = {r.leaf: -(-r["count"] // block_queries) for r in routed.groupBy("leaf").count().collect()}
     own, other = F.pmod(F.xxhash64("vec_id"), "own_n"), F.explode(F.sequence(F.lit(0), F.col("other_n") - 1))
     cells = [
