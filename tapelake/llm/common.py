@@ -26,6 +26,11 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def fresh(name: str, taken: list[str]) -> str:
     """The name, with underscores before it until it is none of those taken in any case."""
     lower = {t.lower() for t in taken}

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 from xxhash import xxh64_intdigest
 
-from tapelake.llm.common import fresh, settle, whole_text
+from tapelake.llm.common import columns_of, fresh, settle, whole_text
 from tapelake.llm.simhash import bit_columns, flips
 
 WIDTH = 5
@@ -265,8 +265,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs that hold no item."""
-    return contamination(docs, benchmark, similarity).filter(F.size("matches") == 0).select(*docs.columns)
+    """The rows of docs that hold no item, in their own columns, whatever their names."""
+    inner = docs.withColumnRenamed("matches", fresh("_held", docs.columns))
+    kept = contamination(inner, benchmark, similarity).filter(F.size("matches") == 0)
+    return kept.select(*columns_of(inner)).toDF(*docs.columns)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

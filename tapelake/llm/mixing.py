@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapelake.llm.common import settle, whole_text
+from tapelake.llm.common import fresh, settle, whole_text
 
 #: Rates above this are drawn as a sum of several draws of an equal share, which keeps distribution tables short.
 LARGEST_MEAN = 64.0
@@ -66,24 +66,25 @@ def mix(
     characters of docs, in expectation. A null source is a source; one without any characters keeps a rate of 1. Rows with
     the same doc_id get the same number of copies; one without doc_id is drawn by its text. Rows are dealt out by
     shuffle_key, a hash of document and copy, and sorted by it within each partition; sort by it for one total order.
-    Columns named ``copy`` or ``shuffle_key`` are replaced. An empty table stays empty.
+    Columns named ``copy`` or ``shuffle_key`` are replaced; all others may have any name. An empty table stays empty.
     """
+    of_, name_, times, draws, cdf = (fresh(x, docs.columns) for x in ("_of", "_name", "_copies", "_draws", "_cdf"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / LARGEST_MEAN).cast("int"))
     table = rates(docs, weights, alpha, growth).withColumn("draws", parts)
     table = table.withColumn("cdf", distribution(F.col("rate") / F.col("draws")))
-    table = table.select(F.struct(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("none")).alias("_of"), "draws", "cdf")
-    columns = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
+    table = table.select(F.struct(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("none")).alias(of_), F.col("draws").alias(draws), F.col("cdf").alias(cdf))
+    columns = ["`" + c.replace("`", "``") + "`" for c in docs.columns if c.lower() not in ("copy", "shuffle_key")]
     name = F.coalesce(F.col("doc_id").cast("string"), F.sha2(whole_text().cast("binary"), 256))
     of = F.struct(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("none"))
-    drawn = docs.select(*columns, of.alias("_of"), name.alias("_name")).join(table, "_of")
+    drawn = docs.select(*columns, of.alias(of_), name.alias(name_)).join(table, of_)
     copies = F.aggregate(
-        F.sequence(F.lit(1), F.col("draws")),
+        F.sequence(F.lit(1), F.col(draws)),
         F.lit(0),
-        lambda n, i: n + F.size(F.filter("cdf", lambda c: c <= uniform(F.lit(seed), "_name", i.cast("string")))),
+        lambda n, i: n + F.size(F.filter(cdf, lambda c: c <= uniform(F.lit(seed), name_, i.cast("string")))),
     )
-    drawn = drawn.select(*columns, "_name", copies.alias("_copies")).filter("_copies > 0")
-    drawn = drawn.select(*columns, "_name", F.explode(F.sequence(F.lit(1), "_copies")).alias("copy"))
-    key = F.substring(digest(F.lit(seed), F.lit("order"), "_name", F.col("copy").cast("string")), 1, 16)
+    drawn = drawn.select(*columns, name_, copies.alias(times)).filter(F.col(times) > 0)
+    drawn = drawn.select(*columns, name_, F.explode(F.sequence(F.lit(1), times)).alias("copy"))
+    key = F.substring(digest(F.lit(seed), F.lit("order"), name_, F.col("copy").cast("string")), 1, 16)
     dealt = drawn.select(*columns, "copy", key.alias("shuffle_key")).repartition("shuffle_key")
     return dealt.sortWithinPartitions("shuffle_key")
 

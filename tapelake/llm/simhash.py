@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 from xxhash import xxh64_intdigest
 
-from tapelake.llm.common import settle, whole_text
+from tapelake.llm.common import columns_of, fresh, settle, whole_text
 from tapelake.llm.components import components
 
 BITS = 64
@@ -279,25 +279,27 @@ def representatives(docs: DataFrame, radius: int = 2) -> DataFrame:
 
     Rows without a doc_id stay only where no row of their component has one; then the one with the least row hash stays.
     """
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    row = F.xxhash64(*columns_of(docs))
     return first_of_each(docs, row, near_duplicates(docs, radius, {"row_hash": row}))
 
 
 def first_of_each(docs: DataFrame, row: Column, found: DataFrame) -> DataFrame:
-    """Of each component of ``found(doc_id, row_hash, fp, component_id)`` the first row of docs, whose hashes ``row`` gives."""
+    """Of each component of ``found(doc_id, row_hash, fp, component_id)`` the first row of docs, whose hashes ``row`` gives.
+    Columns of docs may have any names."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_hash")
     chosen = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("of")).agg(
         F.min(order).alias("o")
     )
-    copies = found.groupBy("doc_id", "row_hash").agg(F.count("*").alias("copies"))
-    chosen = chosen.select(F.col("o.doc_id").alias("_id"), F.col("o.row_hash").alias("_row"))
-    chosen = chosen.join(copies, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_row") == F.col("row_hash")))
-    chosen = chosen.select("_id", "_row", "copies")
-    kept = docs.withColumn("_hash", row).join(
-        chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row"))
+    own, first, first_row, times = (fresh(name, docs.columns) for name in ("_hash", "_id", "_row", "_copies"))
+    copies = found.groupBy("doc_id", "row_hash").agg(F.count("*").alias(times))
+    chosen = chosen.select(F.col("o.doc_id").alias(first), F.col("o.row_hash").alias(first_row))
+    chosen = chosen.join(copies, F.col(first).eqNullSafe(F.col("doc_id")) & (F.col(first_row) == F.col("row_hash")))
+    chosen = chosen.select(first, first_row, times)
+    kept = docs.withColumn(own, row).join(
+        chosen, F.col("doc_id").eqNullSafe(F.col(first)) & (F.col(own) == F.col(first_row))
     )
-    once = kept.filter("copies = 1").select(*docs.columns)
-    repeated = kept.filter("copies > 1").dropDuplicates(["_id", "_row"]).select(*docs.columns)
+    once = kept.filter(F.col(times) == 1).select(*columns_of(docs))
+    repeated = kept.filter(F.col(times) > 1).dropDuplicates([first, first_row]).select(*columns_of(docs))
     return once.unionByName(repeated)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tapelake.llm.common import settle, whole_text
+from tapelake.llm.common import columns_of, fresh, settle, whole_text
 
 GRAMS = (3, 4, 5, 6)
 BUCKET_BITS = 18
@@ -276,4 +276,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most: i
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most: int = 1500) -> DataFrame:
+    """The rows of ``docs`` that ``toxicity`` would not predict as toxic, in their own columns, whatever their names."""
+    score = fresh("_score", docs.columns)
+    scored = docs.withColumn(score, score_column(fit(docs, labels, ~held_out(), most), whole_text()))
+    return scored.filter(F.col(score) < threshold).select(*columns_of(docs))
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
