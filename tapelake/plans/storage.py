@@ -15,7 +15,7 @@ from tapelake.plans.ingestion import ACCEPTED, ACCEPTED_SQL, odd_trade_messages
 from tapelake.plans.registry import query
 from tapelake.schemas import BOOK_EVENT, BRONZE_ORDERBOOK, BRONZE_TRADES, SILVER_TRADES, SYMBOL_REFERENCE, TRADE_EVENT
 from tapelake.session import scratch_folder
-from tapelake.sources import files, kafka
+from tapelake.sources import compaction, files, kafka
 from tapelake.sources.views import PROCESSED_AT
 from tapelake.streaming import aggregates, corrections, pipelines
 from tapelake.streaming.price_alerts import price_alert_stream
@@ -100,6 +100,26 @@ def compaction_report(m):
     return files.compaction_report(files.table_stats(m.spark, {"trades": source, "compacted": target}))
 
 
+@query(
+    "compaction_packed",
+    """SELECT trading_date AS day, count(*) AS row_count, sum(quantity)::BIGINT AS total_quantity, count(DISTINCT trade_id) AS trades,
+        true AS few_files FROM trades GROUP BY trading_date""",
+)
+def compaction_packed(m):
+    """A table of many small files a day, packed in its place: the rows stay, the files become few."""
+    path, work = f"{scratch_folder(m.spark, 'packed')}/t", scratch_folder(m.spark, "packing")
+    trades = m.trades.select("trade_id", "symbol", "quantity", F.to_date("timestamp").alias("day"))
+    trades.repartition(6, "trade_id").write.partitionBy("day").parquet(path)
+    compaction.compact_in_place(m.spark, path, work, "day")
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    rows = m.spark.read.parquet(path).groupBy("day", name.alias("file")).agg(
+        F.count("*").alias("n"), F.sum("quantity").cast("bigint").alias("q"), F.countDistinct("trade_id").alias("t")
+    )
+    return rows.groupBy("day").agg(
+        F.sum("n").alias("row_count"), F.sum("q").alias("total_quantity"), F.sum("t").alias("trades"), (F.count("*") <= 2).alias("few_files")
+    )
+
+
 def recorded_trades(m, replays: bool = False) -> str:
     """The trade topic as files; with ``replays`` every tenth message is there twice."""
     path = f"{scratch_folder(m.spark, 'topic')}/t"
