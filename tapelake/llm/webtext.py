@@ -11,6 +11,7 @@ import html
 import re
 import sys
 from bisect import bisect
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -51,6 +52,7 @@ COMMENT = re.compile(r"(?:div-)?comments?(?:-body|-\d+)?")
 #: Elements that hold other articles than the page's own, such as teasers, if that one is outside.
 SIDE = frozenset("nav aside footer menu dialog".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
+FORM, PARAGRAPH = re.compile(r"<form\b", re.I), re.compile(r"<(?:p|h1)\b", re.I)
 #: An open p ends where one of these starts; an open li, dd and so on where one of its kind does.
 CLOSES_P = BREAKS - {"br", "body", "html", "head", "option", "legend", "summary", "td", "th", "tr", "tbody", "thead", "tfoot"}
 SAME_KIND = {
@@ -66,27 +68,38 @@ ARTICLES = re.compile(
 )
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     tag: str
     sign: str = ""
     dropped: bool = False
     main: bool = False
     side: bool = False  #: may hold articles that are not the page's own
-    pieces: list[str] = field(default_factory=list)  #: what its subtree's hash is made of
+    named: bool = False  #: dropped for a name or role, not for its tag alone
+    parent: Element | None = None
+    in_main: bool = False  #: is or stands in an article or main element
+    in_article: bool = False
+    holder: Element | None = None  #: the nearest element that breaks text, itself included; the root if there is none
+    pieces: list[str] = field(default_factory=list)  #: what a holder's hash is made of
     hash: int = 0
 
+    def put_in(self, parent: Element) -> None:
+        self.parent = parent
+        self.in_main = self.main or parent.in_main
+        self.in_article = self.tag == "article" or parent.in_article
+        self.holder = self if self.tag in BREAKS else parent.holder
+
 
 @dataclass
 class Block:
-    """Text between two breaks, and the elements it stands in."""
+    """Text between two breaks, and the innermost element it stands in."""
 
     text: str
-    inside: list[Element]
+    within: Element
 
 
-def element(tag: str, attributes: str) -> Element:
-    sign, dropped, side, comment = "", tag in DROPPED, tag in SIDE, False
+def element(tag: str, attributes: str, unwanted: frozenset[str] = DROPPED) -> Element:
+    sign, dropped, side, comment = "", False, tag in SIDE, False
     if attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
             value = "".join(values).lower()
@@ -100,9 +113,9 @@ def element(tag: str, attributes: str) -> Element:
                 dropped = dropped or value in ROLES
             elif name == "hidden" and not value:
                 dropped = side = True
-    main = tag in ("article", "main")
-    dropped = comment if main else (dropped or comment) and tag not in ("html", "body")
-    return Element(tag, sign, dropped, main, side or comment)
+    main, named = tag in ("article", "main"), dropped or comment
+    dropped = comment if main else (named or tag in unwanted) and tag not in ("html", "body")
+    return Element(tag, sign, dropped, main, side or comment, named)
 
 
 def own_articles(page: str) -> list[int]:
@@ -114,29 +127,34 @@ def edges_of(tag: str) -> re.Pattern:
     return re.compile(rf"<(/?){re.escape(tag)}(?![^\s/>])[^>]*>", re.I)
 
 
-def end_of(page: str, tag: str, at: int) -> int:
-    """Where the element opened before ``at`` is closed; 0 if it isn't."""
-    depth = 1
-    for edge in edges_of(tag).finditer(page, at):
-        depth += -1 if edge[1] else 1
-        if not depth:
-            return edge.end()
-    return 0
+def ends_of(page: str, tag: str) -> dict[int, int]:
+    """Where the elements of a tag end, by where they start; those never closed are left out."""
+    ends, opened = {}, []
+    for edge in edges_of(tag).finditer(page):
+        if not edge[1]:
+            opened.append(edge.start())
+        elif opened:
+            ends[opened.pop()] = edge.end()
+    return ends
 
 
-def blocks(page: str) -> list[Block]:
-    """The page's blocks outside dropped elements, with hashes of all elements around them."""
+def blocks(page: str, unwanted: frozenset[str] = DROPPED) -> list[Block]:
+    """The page's blocks outside dropped elements, with hashes of all elements around them that break text."""
     root = Element("")
+    root.holder = root
     stack, out, pending = [root], [], []
     at = drops = 0
+    standing: Counter[str] = Counter()  # tags on the stack
+    ends: dict[str, dict[int, int]] = {}
+    never_closed: set[str] = set()
     articles: list[int] | None = None
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(pending)).split()) if pending else ""
         pending.clear()
         if text:
-            out.append(Block(text, stack[1:]))
-            stack[-1].pieces.append(text)
+            out.append(Block(text, stack[-1]))
+            stack[-1].holder.pieces.append(text)
 
     def close(down_to: int) -> None:
         nonlocal drops
@@ -145,11 +163,11 @@ def blocks(page: str) -> list[Block]:
                 flush()
             done = stack.pop()
             drops -= done.dropped
-            done.hash = xxh3_64_intdigest("\x1f".join([done.tag, done.sign, *done.pieces]).encode("utf-8", "surrogatepass"))
+            standing[done.tag] -= 1
             if done.tag in BREAKS:
-                stack[-1].pieces.append(f"\x1e{done.hash:x}")
-            else:
-                stack[-1].pieces += done.pieces
+                done.hash = xxh3_64_intdigest("\x1f".join([done.tag, done.sign, *done.pieces]).encode("utf-8", "surrogatepass"))
+                done.pieces.clear()
+                stack[-1].holder.pieces.append(f"\x1e{done.hash:x}")
 
     size = len(page)
     while at < size:
@@ -167,20 +185,24 @@ def blocks(page: str) -> list[Block]:
         if found[1]:
             if tag == "br":
                 flush()
-            else:
+            elif standing[tag]:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag == tag:
                         close(k)
                         break
             continue
         if tag in RAW:  # no markup inside; passed over as a whole
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at) if not found[3].endswith("/") else None
+            end = None
+            if not found[3].endswith("/") and tag not in never_closed:
+                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+                if end is None:
+                    never_closed.add(tag)
             if end is not None:
                 at = end.end()
             elif tag in ("script", "style", "textarea", "title") and not found[3].endswith("/"):
                 at = size
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and standing["p"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
                     close(k)
@@ -200,9 +222,14 @@ def blocks(page: str) -> list[Block]:
         if tag in BREAKS:
             flush()
         if tag not in VOID:
-            new = element(tag, found[3])
+            new = element(tag, found[3], unwanted)
+            new.put_in(stack[-1])
+            if new.dropped and tag == "header" and not new.named and new.in_article:
+                new.dropped = False  # the article's own title
             if new.dropped:
-                past = end_of(page, tag, at)
+                if tag not in ends:
+                    ends[tag] = ends_of(page, tag)
+                past = ends[tag].get(found.start(), 0)
                 if articles is None:
                     articles = own_articles(page)
                 held = bisect(articles, (past or size) - 1) - bisect(articles, at - 1)
@@ -212,6 +239,7 @@ def blocks(page: str) -> list[Block]:
                     at = past
                     continue
             stack.append(new)
+            standing[tag] += 1
             drops += new.dropped
     flush()
     close(1)
@@ -219,10 +247,24 @@ def blocks(page: str) -> list[Block]:
 
 
 def main_blocks(page: str) -> list[Block]:
-    """Blocks of the article: where a page marks articles or a main part, only what stands in these."""
+    """Blocks of the article: where a page marks articles or a main part, only what stands in these. Where nothing is left
+    of a page with paragraphs, forms are read as well, as some sites put whole pages into one."""
     found = blocks(page)
-    inside = [b for b in found if any(e.main for e in b.inside)]
-    return inside or found
+    if not found and FORM.search(page) and PARAGRAPH.search(page):
+        found = blocks(page, DROPPED - {"form"})
+    return [b for b in found if b.within.in_main] or found
+
+
+def around(found: list[Block]) -> Iterator[Element]:
+    """The elements that break text around the blocks, each once."""
+    seen = set()
+    for b in found:
+        e = b.within
+        while e is not None and id(e) not in seen:
+            seen.add(id(e))
+            if e.tag in BREAKS:
+                yield e
+            e = e.parent
 
 
 def signed(value: int) -> int:
@@ -236,7 +278,7 @@ def template_key(host: str, subtree: int) -> int:
 
 def candidates(found: list[Block]) -> set[int]:
     """Hashes of the elements that may be templates: those that break text, but not the article as such."""
-    return {e.hash for b in found for e in b.inside if not e.main and e.tag in BREAKS and e.tag not in ("html", "body")}
+    return {e.hash for e in around(found) if not e.main and e.tag not in ("html", "body")}
 
 
 def page_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,18 +299,23 @@ SUBTREES = ("key", "host_key", "body", "page")
 
 def remaining(host: str, page: str, templates) -> str:
     """The page's blocks outside templates, joined."""
-    keys: dict[int, bool] = {}
-
-    def gone(e: Element) -> bool:
-        if e.hash not in keys:
-            keys[e.hash] = template_key(host, e.hash) in templates
-        return keys[e.hash]
-
     found = main_blocks(page)
     if not len(templates):
         return " ".join(b.text for b in found)
-    may = candidates(found)
-    return " ".join(b.text for b in found if not any(e.hash in may and gone(e) for e in b.inside))
+    gone = {h for h in candidates(found) if template_key(host, h) in templates}
+    out: dict[int, bool] = {}  # whether an element is, or stands in, a template
+    kept = []
+    for b in found:
+        path, e = [], b.within
+        while e is not None and id(e) not in out:
+            path.append(e)
+            e = e.parent
+        inside = e is not None and out[id(e)]
+        for e in reversed(path):
+            out[id(e)] = inside = inside or e.hash in gone
+        if not inside:
+            kept.append(b.text)
+    return " ".join(kept)
 
 
 def template_keys(found: DataFrame, least_pages: int, share: float) -> DataFrame:
@@ -285,10 +332,11 @@ def main_text(pages: DataFrame, least_pages: int = 20, share: float = 0.5, most_
     """``(page_id, url, text, n_chars)`` for each row of ``pages(page_id, url, html)``.
 
     Left out are elements named as boilerplate by tag, role, or a whole class or id, unless they hold an article or main
-    element that is no comment (nav, aside, footer, hidden and comment elements: the only ones of the page); where a page has an article or main element,
+    element that is no comment (a header inside the page's article holds its title and stays; nav, aside, footer, hidden and comment elements: the only ones of the page); where a page has an article or main element,
     everything outside these; and subtrees found on at least ``least_pages`` pages of their host with different texts, if
     that is at least ``share`` of such pages. Character references are decoded, white space in a block becomes one space,
-    and blocks are joined in page order by one space. Null and empty pages give an empty text. Pages without a host, from
+    and blocks are joined in page order by one space. Null and empty pages give an empty text; forms are read only where a page with
+    paragraphs would be empty otherwise. Pages without a host, from
     a null url say, are taken as one host. Repeated rows give repeated rows and count once; other columns are not read.
 
     Up to ``most_shared`` template subtrees go to the tasks as numbers of eight bytes; more are joined to the pages.
