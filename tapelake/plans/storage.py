@@ -372,7 +372,7 @@ def st_price_alert_stream(m):
     closing = (
         m.trade_messages.orderBy(F.desc("offset"))
         .limit(1)
-        .withColumn("value", F.regexp_replace("value", '"timestamp":"2024', '"timestamp":"2034'))
+        .withColumn("value", F.regexp_replace("value", '"timestamp":"[0-9]+', '"timestamp":"2260'))
         .withColumn("value", F.regexp_replace("value", '"symbol":"[^"]*"', '"symbol":"END"'))
     )
     more = f"{scratch_folder(m.spark, 'closing')}/t"

@@ -258,6 +258,90 @@ def test_a_timer_reads_only_its_slot():
     assert expected and got == expected
 
 
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def expire(handle, processor, ms):
+    """What the timers that the watermark has passed put out, each removed."""
+    got = []
+    for at in sorted(t for t in set(handle.timers) if t <= ms):
+        info = type("Info", (), {"getExpiryTimeInMs": lambda self, at=at: at})()
+        for found in processor.handleExpiredTimer(("S",), Clock(ms), info):
+            got += found[["price", "baseline_price", "us"]].values.tolist()
+    handle.timers = [t for t in handle.timers if t > ms]
+    return got
+
+
+def plain_alerts(trades):
+    state, expected = Baseline(), []
+    for us, _, price in sorted(trades):
+        found = state.observe(price, us, AlertRules())
+        if found:
+            expected.append([price, found[1], us])
+    return expected
+
+
+def test_a_long_backlog_waits_in_few_slots():
+    """A year of trades, one in four minutes, arriving at once: few timers and few pieces, not one for each minute."""
+    import pandas as pd
+
+    rng = random.Random(5)
+    trades = [(240_000_000 * k, f"T{k:06d}", round(100 * rng.uniform(0.9, 1.1), 4)) for k in range(131_400)]
+    handle, processor = Handle(), AlertProcessor(AlertRules())
+    processor.init(handle)
+    frame = pd.DataFrame(trades, columns=["us", "trade_id", "price"]).sample(frac=1, random_state=1)
+    processor.handleInputRows(("S",), iter([frame[:70_000], frame[70_000:]]), Clock(0))
+    assert len(handle.timers) <= 20
+    assert expire(handle, processor, 10**12) == plain_alerts(trades)
+    assert handle.touched() <= 100 and not handle.states["waiting"] and not handle.states["pieces"]
+
+
+@pytest.mark.parametrize("seed,held_rows", [(1, 5), (2, 40), (3, 100_000), (4, 40)])
+def test_alerts_come_as_the_watermark_passes(seed, held_rows):
+    """Trades up to months ahead of a watermark that moves by seconds to weeks: each release ends at its minute, in order."""
+    import pandas as pd
+
+    rng = random.Random(seed)
+    handle, processor = Handle(), AlertProcessor(AlertRules(), held_rows=held_rows)
+    processor.init(handle)
+    ms, n, trades, got = 1_704_067_170_000, 0, [], []
+    for _ in range(150):
+        batch = []
+        for _ in range(rng.randrange(1, 60)):
+            ahead = rng.choice((10, 100, 4000, 90_000, 9_000_000))
+            us = ms * 1000 // 60_000_000 * 60_000_000 + rng.randrange(ahead) * 1_000_000
+            batch.append((us, f"T{rng.randrange(10**6):06d}-{n}", round(100 * rng.uniform(0.9, 1.1), 4)))
+            n += 1
+        trades += batch
+        processor.handleInputRows(("S",), iter([pd.DataFrame(batch, columns=["us", "trade_id", "price"])]), Clock(ms))
+        ms += rng.choice((1, 20, 61, 3600, 100_000, 700_000)) * 1000
+        got += expire(handle, processor, ms)
+        limit = ms // 60_000 * 60_000_000
+        assert got == plain_alerts(t for t in trades if t[0] < limit)
+    got += expire(handle, processor, 10**14)
+    assert got == plain_alerts(trades) and not handle.states["waiting"] and not handle.states["pieces"]
+
+
+def test_the_registered_stream_passes_the_last_trades_of_any_year(spark, tmp_path):
+    import shutil
+
+    from tapelake.plans import all_queries
+    from tests.conftest import SMALL
+
+    for name in ("region", "nation"):
+        shutil.copy(f"{SMALL}/{name}.parquet", tmp_path)
+    rows = [(k, START.replace(year=2028) + timedelta(seconds=10 * k), 3, "buy", p, '{"k": 1}') for k, p in enumerate((100.0, 110.0))]
+    schema = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    got = all_queries()["st_price_alert_stream"](spark, str(tmp_path))
+    assert [(r.severity, r.price, r.timestamp.year) for r in got.collect()] == [("CRITICAL", 110.0, 2028)]
+
+
 def test_stream_windows_equal_batch(spark, make_trades, tmp_path):
     trades = make_trades(walk(200))
     topic = str(tmp_path / "topic")
