@@ -4,7 +4,7 @@ Compared are single lines, sentences inside longer lines, paragraphs and longer
 in the templates' words, so notices wrapped over lines and whole headers, and files with the name of a licence file whole.
 Terms are words and versions, so comment marks between them do not matter. Vectors are sparse and live on the templates'
 terms, function words left out; other words only add to their length. So what holds none of these terms needs no vector,
-and equal contents are scored once for the whole corpus.
+and equal contents are scored once for the whole corpus. How rare a term is, is counted over all lines of all files.
 """
 
 from __future__ import annotations
@@ -100,15 +100,19 @@ def template_terms(spark: SparkSession, templates: tuple[tuple[str, str], ...])
     )
 
 
-def matched_lines(lines: DataFrame, n_lines: int, templates: tuple[tuple[str, str], ...], least: float) -> DataFrame:
+def matched_lines(
+    lines: DataFrame, n_lines: int, templates: tuple[tuple[str, str], ...], least: float, seen: DataFrame | None = None
+) -> DataFrame:
     """``(content, license, similarity)`` of the best template of each line content, if similar enough; ties to the first
-    licence by name. ``lines(content, n)`` are distinct contents and how often they occur, n_lines the lines of all files."""
+    licence by name. ``lines(content, n)`` are distinct contents and how often they occur, n_lines the lines of all files.
+    If those are more than ``lines``, ``seen(term, df)`` tells how many of them hold each term of the templates."""
     spark = lines.sparkSession
     wanted = template_terms(spark, templates)
     words = lines.select("content", "n", F.explode(F.split("content", " ")).alias("term")).filter(~F.col("term").isin(STOP_WORDS))
     tf = words.groupBy("content", "term").agg(F.count("*").cast("double").alias("tf"), F.first("n").alias("n"))
     vocabulary = wanted.select("term").distinct()
-    seen = tf.join(vocabulary, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
+    if seen is None:
+        seen = tf.join(vocabulary, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("df"))
     rarest = F.lit(1.0) + F.log(F.lit(float(n_lines + 1)))
     idf = settle(
         vocabulary.join(seen, "term", "left").select("term", (rarest - F.log1p(F.coalesce("df", F.lit(0)))).alias("idf")), "idf"
@@ -137,22 +141,32 @@ def vocabulary_of(templates: tuple[tuple[str, str], ...]) -> list[str]:
     return sorted({t for _, text in templates for t in _python_terms(text)} - set(STOP_WORDS))
 
 
-def line_units(text: Column, templates: tuple[tuple[str, str], ...], least: float) -> Column:
+def line_contents(text: Column) -> Column:
+    """The terms of each line, joined by one space."""
+    return F.transform(F.split(text, "\n"), lambda x: F.array_join(terms(x), " "))
+
+
+def terms_of_lines(lines: Column, templates: tuple[tuple[str, str], ...]) -> Column:
+    """The templates' terms in each of the line contents, one after the other and each once a line."""
+    vocabulary = vocabulary_of(templates)
+    return F.flatten(F.transform(lines, lambda x: F.array_distinct(F.filter(F.split(x, " "), lambda w: w.isin(vocabulary)))))
+
+
+def line_units(text: Column, lines: Column, templates: tuple[tuple[str, str], ...], least: float) -> Column:
     """``[(kind, content)]``: lines, and the sentences of lines that hold several, that a template may be similar to."""
     vocabulary = vocabulary_of(templates)
     known = r"(?:^| )(?:" + "|".join(v.replace(".", r"\.") for v in vocabulary) + r")(?: |$)"
-    lines = F.split(text, "\n")
-    several = F.filter(F.transform(lines, lambda x: F.split(x, SENTENCE_END)), lambda x: F.size(x) > 1)
+    several = F.filter(F.transform(F.split(text, "\n"), lambda x: F.split(x, SENTENCE_END)), lambda x: F.size(x) > 1)
+    sentences = F.transform(F.flatten(several), lambda x: F.array_join(terms(x), " "))
 
-    def kept(raw: Column, kind: int) -> Column:
-        contents = F.transform(raw, lambda x: F.array_join(terms(x), " "))
+    def kept(contents: Column, kind: int) -> Column:
         contents = F.filter(contents, lambda x: x.rlike(known) & may_match(F.split(x, " "), vocabulary, least))
         return F.transform(contents, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("content")))
 
-    return F.concat(kept(lines, 0), kept(F.flatten(several), 1))
+    return F.concat(kept(lines, 0), kept(sentences, 1))
 
 
-def joined_units(text: Column, is_license: Column, templates: tuple[tuple[str, str], ...], least: float) -> Column:
+def joined_units(lines: Column, is_license: Column, templates: tuple[tuple[str, str], ...], least: float) -> Column:
     """``[(kind, content)]``: paragraphs of several lines, longer runs of lines, and the whole text of a licence file.
 
     A run is made of neighbouring lines that have at least as many words of the templates as others, function words not
@@ -165,7 +179,6 @@ def joined_units(text: Column, is_license: Column, templates: tuple[tuple[str, s
         known = F.size(F.filter(words, lambda w: w.isin(vocabulary)))
         return (line == "") | (known >= F.size(F.filter(words, lambda w: ~w.isin(vocabulary) & ~w.isin(STOP_WORDS))))
 
-    lines = F.transform(F.split(text, "\n"), lambda x: F.array_join(terms(x), " "))
     marked = F.array_join(F.transform(lines, lambda x: F.when(of_a_notice(x), x).otherwise("\r")), "\n")
     several = lambda x: x.contains("\n")
     runs = F.filter(F.transform(F.split(marked, "\r"), lambda x: F.trim(x, F.lit("\n"))), several)
@@ -200,20 +213,25 @@ def licenses(
     """
     path = F.col("path").cast("string")
     named = F.coalesce(F.element_at(F.split(F.trim(path, F.lit("/")), "/+"), -1).rlike(LICENSE_NAME), F.lit(False))
-    slim = files.select(
+    lines = F.col("_lines")
+    whole = files.select("doc_id", path.alias("path"), whole_text().alias("_text"))
+    slim = whole.withColumn("_lines", line_contents(F.col("_text"))).select(
         "doc_id",
-        path.alias("path"),
-        F.length(whole_text()).alias("chars"),
-        F.size(F.split(whole_text(), "\n")).alias("n_lines"),
-        F.concat(line_units(whole_text(), templates, least), joined_units(whole_text(), named, templates + texts, least)).alias("units"),
+        "path",
+        F.length("_text").alias("chars"),
+        F.size("_lines").alias("n_lines"),
+        F.concat(line_units(F.col("_text"), lines, templates, least), joined_units(lines, named, templates + texts, least)).alias("units"),
+        terms_of_lines(lines, templates + texts).alias("terms"),
     )
     slim = settle(slim.withColumn("row", F.monotonically_increasing_id()), "license-lines")  # read back, the ids are fixed
     n_lines = slim.agg(F.sum("n_lines")).first()[0] or 0
+    # Rarity is counted over all lines of all files, also those that no template may be similar to.
+    seen = slim.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    seen = settle(seen, "license-terms")
     exploded = slim.select("row", F.explode("units").alias("u")).select("row", "u.*", (F.col("u.kind") >= 2).alias("joined"))
-    counted = F.count(F.when(F.col("kind") != 1, 1))  # sentences are parts of lines
-    contents = settle(exploded.groupBy("content", "joined").agg(counted.alias("n")), "license-contents")
+    contents = settle(exploded.groupBy("content", "joined").agg(F.count("*").alias("n")), "license-contents")
     sides = [
-        matched_lines(contents.filter(F.col("joined") == side), n_lines, of, least).withColumn("joined", F.lit(side))
+        matched_lines(contents.filter(F.col("joined") == side), n_lines, of, least, seen).withColumn("joined", F.lit(side))
         for side, of in ((False, templates), (True, templates + texts))
     ]
     found = settle(sides[0].unionByName(sides[1]), "license-matches")
@@ -222,7 +240,7 @@ def licenses(
     own = own.groupBy("row").agg(F.min("b").alias("b"), F.max("covered").alias("covered"))
     own = own.select("row", F.col("b.license").alias("own"), (-F.col("b.s")).alias("similarity"), "covered")
     parts = F.split(F.trim(F.col("path"), F.lit("/")), "/+")
-    rows = slim.drop("units", "n_lines").join(own, "row", "left").withColumn("parts", parts)
+    rows = slim.drop("units", "terms", "n_lines").join(own, "row", "left").withColumn("parts", parts)
     rows = rows.withColumn("dir", F.array_join(F.slice("parts", 1, F.size("parts") - 1), "/"))
     rows = settle(rows.withColumn("name", F.element_at("parts", -1)).drop("parts"), "license-files")
     is_license = F.col("name").rlike(LICENSE_NAME) | (F.col("covered") >= file_share * F.col("chars"))

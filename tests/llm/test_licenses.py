@@ -75,3 +75,14 @@ def test_similarities_equal_plain_tf_idf(spark):
     want = {c: (-s, name) for c, (s, name) in plain(units, templates, 500).items() if -s >= 0.75}
     assert got.keys() == want.keys() and len(got) > 50
     assert all(abs(got[c][0] - want[c][0]) < 2e-6 for c in want) and sum(got[c][1] == want[c][1] for c in want) == len(want)
+
+
+def test_rarity_is_counted_over_all_lines(spark):
+    """Lines that are no notices themselves make a template's word common, and so a notice with it less telling."""
+    notice, other = "Released under the MIT License today", "The license fee of seven grey horses was paid again that winter"
+    files = [(1, "a/b/x.txt", f"{notice}\nnothing\n\n"), (2, "c/y.txt", "\n".join([other] * 300))]
+    row = licenses.licenses(spark.createDataFrame(files, FILE)).filter("doc_id = 1").collect()[0]
+    units = {" ".join(re.findall(licenses.TERM, t.lower())): n for t, n in ((notice, 1), ("nothing", 1), ("", 2), (other, 300))}
+    similarity, name = plain(units, licenses.TEMPLATES, 304)["released under the mit license today"]
+    assert (row.license, row.origin, name) == ("MIT", "own", "MIT")
+    assert abs(row.similarity + similarity) < 2e-6 and row.similarity < 0.85
